@@ -10,7 +10,7 @@ from tallyline import fixtures as fx
 from tallyline.functions import values as v
 from tallyline.operators import baskets, carry, compare, orders, quality, reports, rollups, sellers
 from tallyline.operators import staging as stage
-from tallyline.operators.matching import classify_differences
+from tallyline.operators.matching import classify_differences, match_figures
 from tallyline.plans import checks, reconcile
 from tallyline.plans.sellers import seller_history
 from tallyline.schemas import SETTLEMENT
@@ -213,7 +213,7 @@ def matched(spark, sf):
 
 
 def _match_figures(spark, sf):
-    return reconcile.match_figures(stg_ledger(spark, sf), stg_settlement(spark, sf))
+    return match_figures(stg_ledger(spark, sf), stg_settlement(spark, sf))
 
 
 def _difference_figures(spark, sf):
@@ -257,7 +257,7 @@ def key_duplicates(spark, sf):
 
 @query
 def unmatched_sample(spark, sf):
-    return reports.unmatched_sample(matched(spark, sf))
+    return reconcile.sample_day(stg_ledger(spark, sf), stg_settlement(spark, sf))
 
 
 @query
@@ -270,7 +270,7 @@ def carry_forward(spark, sf):
     opened = carry.open_items(_difference_figures(spark, sf), fx.DAY)
     ledger = stage.stage_ledger(fx.raw_next_ledger(spark, sf))
     settlement = stage.stage_settlement(fx.raw_next_settlement(spark, sf))
-    next_match = reconcile.match_figures(ledger, settlement)
+    next_match = match_figures(ledger, settlement)
     today = classify_differences(next_match, fx.NEXT_CUTOFF, fx.NEXT_DAY)
     return carry.carry_forward(opened, today, fx.NEXT_DAY)
 
@@ -299,10 +299,8 @@ def check_accepted_values(spark, sf):
 
 
 def _coverage(spark, sf, found):
-    ledger, settlement = stg_ledger(spark, sf), stg_settlement(spark, sf)
-    return quality.coverage_gaps(
-        rollups.ledger_by_payment(ledger), rollups.settlement_figures_by_payment(settlement), found
-    )
+    payments = [side.select("payment_id").distinct() for side in (stg_ledger(spark, sf), stg_settlement(spark, sf))]
+    return quality.coverage_gaps(*payments, found)
 
 
 @query

@@ -9,6 +9,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyline.functions import values as v
 from tallyline.functions.money import amount_or_zero
 from tallyline.functions.times import date_literal, ts_literal
+from tallyline.operators.rollups import ledger_figures
+
+
+def _category(only_ours: Column, only_bank: Column, equal: Column) -> Column:
+    return (
+        F.when(only_ours, v.LEDGER_ONLY)
+        .when(only_bank, v.SETTLEMENT_ONLY)
+        .when(equal, v.MATCHED)
+        .otherwise(v.DIFFERING)
+    )
 
 
 def match_payments(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
@@ -19,13 +29,9 @@ def match_payments(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
     """
     ours, bank = ledger.alias("ours"), settlement.alias("bank")
     net, gross = F.col("ours.net_paise"), F.col("bank.gross_paise")
-    category = (
-        F.when(F.col("bank.payment_id").isNull(), v.LEDGER_ONLY)
-        .when(F.col("ours.payment_id").isNull(), v.SETTLEMENT_ONLY)
-        .when(net == gross, v.MATCHED)
-        .otherwise(v.DIFFERING)
+    category = _category(
+        F.col("bank.payment_id").isNull(), F.col("ours.payment_id").isNull(), net == gross
     )
-    lists = [F.col(f"bank.{name}") for name in ("utrs", "remarks") if name in settlement.columns]
     joined = ours.join(bank, F.col("ours.payment_id") == F.col("bank.payment_id"), "full")
     return joined.select(
         F.coalesce("ours.payment_id", "bank.payment_id").alias("payment_id"),
@@ -41,7 +47,56 @@ def match_payments(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
         "bank.utr_count",
         F.col("bank.captured_on").alias("bank_captured_on"),
         "bank.settled_on",
-        *lists,
+        "bank.utrs",
+        "bank.remarks",
+    )
+
+
+def match_figures(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
+    """The same match from the staged rows, without the text lists.
+
+    Both sides are stacked and grouped once per payment: one shuffle after map-side combining
+    and no join, which halves the time of whatever only counts and sums. Rows without a
+    payment id stay apart by side, as they do in the join.
+    """
+    ours = F.col("ours")
+    stacked = (
+        ledger.select("payment_id", "merchant_id", "entry_type", "amount_paise", "entry_ts", F.lit(True).alias("ours"))
+        .unionByName(
+            settlement.select(
+                "payment_id", "merchant_id", "gross_paise", "captured_on", "settled_on", F.lit(False).alias("ours")
+            ),
+            allowMissingColumns=True,
+        )
+        .withColumn("keyless_side", F.when(F.col("payment_id").isNull(), ours))
+    )
+    met = stacked.groupBy("payment_id", "keyless_side").agg(
+        F.min(F.when(ours, F.col("merchant_id"))).alias("our_merchant"),
+        F.min("merchant_id").alias("any_merchant"),
+        F.count_if(ours).alias("entry_count"),
+        F.count_if(~ours).alias("utr_count"),
+        *ledger_figures(lambda value: F.when(ours, value)),
+        F.sum("gross_paise").alias("gross_paise"),
+        F.min("captured_on").alias("bank_captured_on"),
+        F.min("settled_on").alias("settled_on"),
+    )
+    net, gross, utr_count = F.col("net_paise"), F.col("gross_paise"), F.col("utr_count")
+    # A keyless group is ledger_only whichever side it comes from, like a NULL bank key.
+    only_ours = (utr_count == 0) | F.col("payment_id").isNull()
+    return met.select(
+        "payment_id",
+        F.coalesce("our_merchant", "any_merchant").alias("merchant_id"),
+        _category(only_ours, F.col("entry_count") == 0, net == gross).alias("category"),
+        "captured_paise",
+        "refunded_paise",
+        net.alias("ledger_paise"),
+        gross.alias("settlement_paise"),
+        (amount_or_zero(net) - amount_or_zero(gross)).alias("difference_paise"),
+        "captured_ts",
+        "refunded_ts",
+        F.nullif(utr_count, F.lit(0)).alias("utr_count"),
+        "bank_captured_on",
+        "settled_on",
     )
 
 

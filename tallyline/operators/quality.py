@@ -48,8 +48,11 @@ def unaccepted_values(df: DataFrame, column: str, accepted: list[str]) -> DataFr
     )
 
 
-def coverage_gaps(ledger_rollup: DataFrame, settlement_rollup: DataFrame, matched: DataFrame) -> DataFrame:
-    """The categories must add up to the payments of each side."""
+def coverage_gaps(ledger_payments: DataFrame, settlement_payments: DataFrame, matched: DataFrame) -> DataFrame:
+    """The categories must add up to the payments of each side.
+
+    The sides hold one row per payment: the rollups, or just their distinct payment ids.
+    """
     category = F.col("category")
     sides = matched.agg(
         F.count_if(category.isin(v.MATCHED, v.DIFFERING, v.LEDGER_ONLY)).alias("ledger_matched"),
@@ -57,8 +60,8 @@ def coverage_gaps(ledger_rollup: DataFrame, settlement_rollup: DataFrame, matche
         F.count_if(~category.isin(v.CATEGORIES)).alias("unbucketed"),
     )
     return sides.select(
-        ledger_rollup.agg(F.count(F.lit(1))).scalar().alias("ledger_payments"),
-        settlement_rollup.agg(F.count(F.lit(1))).scalar().alias("settlement_payments"),
+        ledger_payments.agg(F.count(F.lit(1))).scalar().alias("ledger_payments"),
+        settlement_payments.agg(F.count(F.lit(1))).scalar().alias("settlement_payments"),
         "*",
     ).where(
         (F.col("ledger_payments") != F.col("ledger_matched"))

@@ -2,55 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.values import CAPTURE, REFUND
 
 # A payment with more transfers than this gets its list as rows, not as one text cell.
 # At most rows / LIST_LIMIT payments can exceed it, which bounds the broadcast below:
-# a trillion settlement rows allow at most a million such payments, about 30 MB.
+# a trillion settlement rows allow at most a million such payments, about 30 MB. With a
+# lower limit the bound is gone and the planner chooses the join.
 LIST_LIMIT = 1_000_000
 
 
+def _when_captured(value: Column) -> Column:
+    return F.when(F.col("entry_type") == CAPTURE, value)
+
+
+def _when_refunded(value: Column) -> Column:
+    return F.when(F.col("entry_type") == REFUND, value)
+
+
 def signed_paise() -> Column:
     """Captures count up and every other entry counts down, an unknown type included."""
-    amount = F.col("amount_paise")
-    return F.when(F.col("entry_type") == CAPTURE, amount).otherwise(-amount)
+    return _when_captured(F.col("amount_paise")).otherwise(-F.col("amount_paise"))
+
+
+def ledger_figures(of: Callable[[Column], Column] = lambda value: value) -> list[Column]:
+    """The sums and times of a payment's ledger entries; ``of`` may limit them to some rows."""
+    amount, moment, nothing = F.col("amount_paise"), F.col("entry_ts"), F.lit(0).cast("bigint")
+    return [
+        F.sum(of(_when_captured(amount).otherwise(nothing))).alias("captured_paise"),
+        F.sum(of(_when_refunded(amount).otherwise(nothing))).alias("refunded_paise"),
+        F.sum(of(signed_paise())).alias("net_paise"),
+        F.min(of(_when_captured(moment))).alias("captured_ts"),
+        F.min(of(_when_refunded(moment))).alias("refunded_ts"),
+    ]
 
 
 def ledger_by_payment(ledger: DataFrame) -> DataFrame:
-    captured = F.col("entry_type") == CAPTURE
-    refunded = F.col("entry_type") == REFUND
-    amount = F.col("amount_paise")
-    nothing = F.lit(0).cast("bigint")
     return ledger.groupBy("payment_id").agg(
         F.min("merchant_id").alias("merchant_id"),
         F.count(F.lit(1)).alias("entry_count"),
-        F.sum(F.when(captured, amount).otherwise(nothing)).alias("captured_paise"),
-        F.sum(F.when(refunded, amount).otherwise(nothing)).alias("refunded_paise"),
-        F.sum(signed_paise()).alias("net_paise"),
-        F.min(F.when(captured, F.col("entry_ts"))).alias("captured_ts"),
-        F.min(F.when(refunded, F.col("entry_ts"))).alias("refunded_ts"),
+        *ledger_figures(),
     )
 
 
-def _settlement_figures() -> list[Column]:
-    return [
-        F.min("merchant_id").alias("merchant_id"),
-        F.count(F.lit(1)).alias("utr_count"),
-        F.sum("gross_paise").alias("gross_paise"),
-        F.sum("net_paise").alias("net_paise"),
-        F.min("captured_on").alias("captured_on"),
-        F.min("settled_on").alias("settled_on"),
-    ]
-
-
-def settlement_figures_by_payment(settlement: DataFrame) -> DataFrame:
-    """The rollup without its two text lists: one map-side combined aggregate.
-
-    Everything that only counts or sums uses this one.
-    """
-    return settlement.groupBy("payment_id").agg(*_settlement_figures())
+def _in_utr_order(value: str) -> Column:
+    return F.expr(f"listagg({value}, ',') within group (order by utr nulls last)")
 
 
 def long_payments(settlement: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
@@ -66,7 +65,7 @@ def long_payment_utrs(settlement: DataFrame, list_limit: int = LIST_LIMIT) -> Da
     """Every transfer of the payments whose lists are too long for a text cell, as rows."""
     long = long_payments(settlement, list_limit).select(F.col("payment_id").alias("long_id"))
     return settlement.join(
-        F.broadcast(long), F.col("payment_id").eqNullSafe(F.col("long_id")), "left_semi"
+        long, F.col("payment_id").eqNullSafe(F.col("long_id")), "left_semi"
     ).select("payment_id", "utr", "remarks", "gross_paise", "settled_on")
 
 
@@ -80,15 +79,31 @@ def settlement_by_payment(settlement: DataFrame, list_limit: int = LIST_LIMIT) -
     long = long_payments(settlement, list_limit).select(
         F.col("payment_id").alias("long_id"), F.lit(True).alias("is_long")
     )
-    rows = settlement.join(
-        F.broadcast(long), F.col("payment_id").eqNullSafe(F.col("long_id")), "left"
-    )
-    in_order = "listagg(if(is_long, null, {0}), ',') within group (order by utr nulls last)"
-    merchant, utr_count, *figures = _settlement_figures()
+    if list_limit >= LIST_LIMIT:
+        long = F.broadcast(long)
+    rows = settlement.join(long, F.col("payment_id").eqNullSafe(F.col("long_id")), "left")
     return rows.groupBy("payment_id").agg(
-        merchant,
-        utr_count,
-        F.expr(in_order.format("utr")).alias("utrs"),
-        *figures,
-        F.expr(in_order.format("remarks")).alias("remarks"),
+        F.min("merchant_id").alias("merchant_id"),
+        F.count(F.lit(1)).alias("utr_count"),
+        _in_utr_order("if(is_long, null, utr)").alias("utrs"),
+        F.sum("gross_paise").alias("gross_paise"),
+        F.sum("net_paise").alias("net_paise"),
+        F.min("captured_on").alias("captured_on"),
+        F.min("settled_on").alias("settled_on"),
+        _in_utr_order("if(is_long, null, remarks)").alias("remarks"),
+    )
+
+
+def lists_of_few(payments: DataFrame, settlement: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """Add ``utrs`` and ``remarks`` to a handful of payments that carry their ``utr_count``.
+
+    Only for a selection whose size is bounded by its caller: it is broadcast, so the
+    settlement rows are filtered before anything is shuffled.
+    """
+    listed = payments.where(F.col("utr_count") <= list_limit).select(F.col("payment_id").alias("wanted"))
+    lists = (
+        settlement.join(F.broadcast(listed), F.col("payment_id") == F.col("wanted"), "left_semi")
+        .groupBy("payment_id")
+        .agg(_in_utr_order("utr").alias("utrs"), _in_utr_order("remarks").alias("remarks"))
     )
+    return payments.join(F.broadcast(lists), "payment_id", "left")

@@ -5,18 +5,15 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tallyline.functions.times import date_literal
 from tallyline.operators import quality
-from tallyline.operators.matching import classify_differences, match_payments
-from tallyline.operators.reports import category_summary, reconciliation_report
-from tallyline.operators.rollups import (
-    ledger_by_payment,
-    settlement_by_payment,
-    settlement_figures_by_payment,
-)
+from tallyline.operators.matching import classify_differences, match_figures, match_payments
+from tallyline.operators.reports import category_summary, reconciliation_report, unmatched_sample
+from tallyline.operators.rollups import ledger_by_payment, lists_of_few, settlement_by_payment
 from tallyline.plans.checks import assert_checks
-from tallyline.session import written
+from tallyline.sources.partitions import replace_partition
 
 
 def match_day(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
@@ -24,16 +21,22 @@ def match_day(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
     return match_payments(ledger_by_payment(ledger), settlement_by_payment(settlement))
 
 
-def match_figures(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
-    """The same match without the text lists: the plan for counts and sums."""
-    return match_payments(ledger_by_payment(ledger), settlement_figures_by_payment(settlement))
-
-
 def report_day(ledger: DataFrame, settlement: DataFrame, cutoff: datetime | str, day: date | str) -> DataFrame:
-    """From staged rows to the report finance reads, in one plan with one scan per side."""
+    """From staged rows to the report finance reads: one scan per side, one large shuffle."""
     return reconciliation_report(classify_differences(match_figures(ledger, settlement), cutoff, day))
 
 
+def sample_day(ledger: DataFrame, settlement: DataFrame, per_category: int = 10) -> DataFrame:
+    """The first unmatched payments of each category, with their transfer lists.
+
+    The lists are gathered for the sampled payments only. The sample, ``per_category`` rows for
+    each of three categories, passes through the driver so that the match runs once.
+    """
+    sample = unmatched_sample(match_figures(ledger, settlement), per_category)
+    few = sample.sparkSession.createDataFrame(sample.collect(), sample.schema)
+    return lists_of_few(few, settlement).orderBy("category", "rn")
+
+
 def reconcile_day(
     ledger: DataFrame, settlement: DataFrame, cutoff: datetime | str, day: date | str, folder: str
 ) -> dict[str, DataFrame]:
@@ -44,9 +47,11 @@ def reconcile_day(
     before the match; a failed one raises and names its rows.
     """
     def stored(df: DataFrame, name: str) -> DataFrame:
-        stamped = df.withColumn("business_day", date_literal(day))
-        table = written(stamped, f"{folder}/{name}", partition_by="business_day")
-        return table.where(F.col("business_day") == date_literal(day)).drop("business_day")
+        table, business_day = f"{folder}/{name}", date_literal(day)
+        replace_partition(df, table, "business_day", str(day), business_day)
+        schema = StructType([*df.schema.fields, StructField("business_day", DateType())])
+        stored_days = df.sparkSession.read.schema(schema).parquet(table)
+        return stored_days.where(F.col("business_day") == business_day).drop("business_day")
 
     tables = {"stg_ledger": ledger, "stg_settlement": settlement}
     assert_checks(tables)

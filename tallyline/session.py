@@ -44,14 +44,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str, *, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet and read it back.
-
-    Cuts the lineage at a table that outlives any executor. With ``partition_by`` only the
-    partitions present in ``df`` are replaced, so rerunning a day is safe.
-    """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet and read it back: the lineage ends at a table that outlives any
+    executor."""
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

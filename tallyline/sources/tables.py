@@ -5,15 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from tallyline.functions.times import date_literal
 from tallyline.operators.orders import daily_orders
 from tallyline.operators.quality import assert_empty, null_counts
 from tallyline.schemas import DAILY_ORDERS
-from tallyline.session import scratch_folder
 from tallyline.sources.csv_files import read_csv, typed_reader
+from tallyline.sources.partitions import counted, empty_partition, replace_partition, replace_partitions
 
 BATCHED_ORDERS = StructType([*DAILY_ORDERS.fields, StructField("batch_day", DateType())])
 
@@ -36,12 +36,6 @@ class Loaded:
     rows_held: int
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the rows of a write while it runs, instead of reading the files again."""
-    counter = Observation()
-    return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
-
-
 def load_whole(spark: SparkSession, files: dict[str, tuple[str, StructType]], folder: str) -> dict[str, int]:
     """Rebuild one table per file; returns the rows of each.
 
@@ -49,12 +43,12 @@ def load_whole(spark: SparkSession, files: dict[str, tuple[str, StructType]], fo
     load with all tables as they were.
     """
     frames = {name: read_csv(spark, path, schema) for name, (path, schema) in files.items()}
-    rows = {}
+    loaded = {}
     for name, frame in frames.items():
-        counted, counter = _counted(frame)
-        counted.write.mode("overwrite").parquet(f"{folder}/{name}")
-        rows[name] = counter.get["rows"]
-    return rows
+        rows, counter = counted(frame)
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        loaded[name] = counter.get["rows"]
+    return loaded
 
 
 def orders_table(spark: SparkSession, table: str) -> DataFrame:
@@ -71,8 +65,8 @@ def _read_day(spark: SparkSession, path: str, day: date | str) -> DataFrame:
 
 def append_day(spark: SparkSession, path: str, day: date | str, table: str) -> Loaded:
     """Append one day's file. Loading a day twice doubles it; :func:`replace_day` does not."""
-    counted, counter = _counted(_read_day(spark, path, day))
-    counted.write.mode("append").partitionBy("batch_day").parquet(table)
+    rows, counter = counted(_read_day(spark, path, day))
+    rows.write.mode("append").partitionBy("batch_day").parquet(table)
     return Loaded(counter.get["rows"], _day_rows(spark, table, day).count())
 
 
@@ -89,8 +83,8 @@ def read_days(spark: SparkSession, paths: str, day_in_path: str = DAY_IN_PATH) -
 
 def load_all_days(spark: SparkSession, paths: str, table: str, day_in_path: str = DAY_IN_PATH) -> Loaded:
     """Rebuild the table from every daily file, without a shuffle: a file holds one day."""
-    counted, counter = _counted(read_days(spark, paths, day_in_path))
-    counted.write.mode("overwrite").partitionBy("batch_day").parquet(table)
+    rows, counter = counted(read_days(spark, paths, day_in_path))
+    rows.write.mode("overwrite").partitionBy("batch_day").parquet(table)
     return Loaded(counter.get["rows"], orders_table(spark, table).count())
 
 
@@ -99,33 +93,23 @@ def replace_day(
 ) -> Loaded:
     """Load one day so that running it again, or after a broken run, changes nothing.
 
-    The file is staged as Parquet and checked there; only then is the day's partition replaced,
-    in the commit of one job. An empty file is refused, or empties the day if allowed.
+    The file is staged as Parquet beside the table and checked there; only then is the day's
+    partition replaced, in the commit of one job. An empty file is refused, or empties the day
+    if allowed.
     """
-    counted, counter = _counted(_read_day(spark, path, day))
-    staging = scratch_folder(spark, f"day-{day}")
-    counted.write.parquet(staging)
+    staging = f"{table}_staging/{day}"
+    rows, counter = counted(_read_day(spark, path, day))
+    rows.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(BATCHED_ORDERS).parquet(staging)
     rows_read = counter.get["rows"]
     if rows_read == 0 and not allow_empty:
         raise EmptyDelivery(f"{path} holds no rows; the table keeps its rows of {day}")
     assert_empty(null_counts(staged, REQUIRED), f"{path} leaves required columns empty")
-    _replace_partitions(staged, table, "batch_day", [str(day)] if rows_read == 0 else [])
+    replace_partition(staged.drop("batch_day"), table, "batch_day", str(day), date_literal(day))
+    spark.createDataFrame([], BATCHED_ORDERS).write.mode("overwrite").parquet(staging)
     return Loaded(rows_read, _day_rows(spark, table, day).count())
 
 
-def _replace_partitions(df: DataFrame, table: str, column: str, emptied: list[str]) -> None:
-    """Replace the partitions ``df`` has rows for, and empty the ones listed.
-
-    A dynamic overwrite leaves a partition alone for which it gets no rows, so those are
-    overwritten one by one with an empty file.
-    """
-    df.write.mode("overwrite").partitionBy(column).option("partitionOverwriteMode", "dynamic").parquet(table)
-    nothing = df.drop(column).limit(0)
-    for value in emptied:
-        nothing.write.mode("overwrite").parquet(f"{table}/{column}={value}")
-
-
 def rebuild_daily_fact(spark: SparkSession, table: str, fact: str) -> None:
     """Write the whole daily fact, one partition per order date; no backfill is pending then."""
     daily_orders(orders_table(spark, table)).write.mode("overwrite").partitionBy("order_date").parquet(fact)
@@ -161,12 +145,11 @@ def backfill_day(
     """
     pending = f"{fact}_pending"
     touched = _dates(_day_rows(spark, table, day)) | _pending_dates(spark, pending, day)
-    batch_day = date.fromisoformat(str(day))
-    note = spark.createDataFrame([(d, batch_day) for d in sorted(touched)], PENDING)
-    _replace_partitions(note, pending, "batch_day", [])
+    noted = spark.createDataFrame([(d,) for d in sorted(touched)], "order_date date")
+    replace_partition(noted, pending, "batch_day", str(day), date_literal(day))
     loaded = replace_day(spark, path, day, table, allow_empty=allow_empty)
     refresh_daily_fact(spark, table, fact, touched | _dates(_day_rows(spark, table, day)))
-    _replace_partitions(note.limit(0), pending, "batch_day", [str(day)])
+    empty_partition(noted, pending, "batch_day", str(day))
     return loaded
 
 
@@ -180,6 +163,9 @@ def refresh_daily_fact(spark: SparkSession, table: str, fact: str, dates: set[da
     """Recompute some dates of the fact; the date filter reaches the Parquet scan."""
     if not dates:
         return
-    recomputed = daily_orders(orders_table(spark, table).where(F.col("order_date").isin(sorted(dates))))
-    kept = _dates(recomputed)
-    _replace_partitions(recomputed, fact, "order_date", [str(d) for d in sorted(dates - kept)])
+    orders = orders_table(spark, table).where(F.col("order_date").isin(sorted(dates)))
+    recomputed = daily_orders(orders)
+    replace_partitions(recomputed, fact, "order_date")
+    kept = _dates(orders.select("order_date"))
+    for gone in sorted(dates - kept):
+        empty_partition(recomputed, fact, "order_date", str(gone))

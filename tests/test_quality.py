@@ -4,8 +4,8 @@ import pytest
 from conftest import rows
 
 from tallyline.operators import carry, compare, quality
-from tallyline.plans import checks, reconcile
-from tallyline.operators.matching import classify_differences
+from tallyline.operators.matching import classify_differences, match_figures
+from tallyline.plans import checks
 
 DAY, CUTOFF = "2025-09-15", "2025-09-15 18:00:00"
 
@@ -70,7 +70,7 @@ def test_compare_sees_a_change_to_null(spark):
 
 def test_open_items_close_when_the_next_file_brings_them(ledger, settlement):
     def differences(ours, bank, cutoff, day):
-        return classify_differences(reconcile.match_figures(ours, bank), cutoff, day)
+        return classify_differences(match_figures(ours, bank), cutoff, day)
 
     first = differences(
         ledger(("late", "capture", 100, "19:00:00"), ("stuck", "capture", 40, "20:00:00"), ("lost", "capture", 9, "09:00:00")),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import values as v
 from tallyline.operators import quality, reports, rollups
-from tallyline.operators.matching import classify_differences
+from tallyline.operators.matching import classify_differences, match_figures
 from tallyline.plans import reconcile
 
 DAY, CUTOFF = "2025-09-15", "2025-09-15 18:00:00"
@@ -121,6 +121,11 @@ def test_null_keys_never_meet_and_null_amounts_differ(ledger, settlement):
     found = rows(matched, "payment_id", "category", "difference_paise")
     assert ("p", v.DIFFERING, -1) in found
     assert {r for r in found if r[0] is None} == {(None, v.LEDGER_ONLY, 5), (None, v.LEDGER_ONLY, -5)}
+    figures = match_figures(
+        ledger((None, "capture", 5, "09:00:00"), ("p", "capture", None, "09:00:00")),
+        settlement(("U1", None, 5, DAY, None), ("U2", "p", 1, DAY, None)),
+    )
+    assert rows(figures) == rows(matched, *figures.columns)
 
 
 def test_report_has_its_total_row_on_empty_input(ledger, settlement):
@@ -146,7 +151,7 @@ def test_report_lists_people_last_but_total(ledger, settlement):
 def test_totals_and_checks_treat_an_empty_side_as_zero(ledger, settlement):
     ours, bank = ledger(("p", "capture", 10, "09:00:00")), settlement()
     assert tuple(reports.totals(ours, bank).first()) == (10, 0, 10)
-    nothing = reports.category_summary(reconcile.match_figures(ledger(), settlement()))
+    nothing = reports.category_summary(match_figures(ledger(), settlement()))
     assert rows(quality.category_gap(nothing, ours, bank)) == {(0, 10)}
 
 
@@ -173,11 +178,13 @@ def test_every_payment_lands_once_and_differences_close_the_gap(spark):
         (f"U{i}", f"p{rng.randint(100, 400)}", "M", rng.randint(1, 9), 0, 0, 0, None, None, None) for i in range(400)
     ]
     ledger, settlement = spark.createDataFrame(ours, LEDGER), spark.createDataFrame(bank, SETTLEMENT)
-    matched = reconcile.match_figures(ledger, settlement)
+    matched = match_figures(ledger, settlement)
     assert sorted(r.payment_id for r in matched.collect()) == sorted({r[1] for r in ours} | {r[1] for r in bank})
     assert quality.category_gap(reports.category_summary(matched), ledger, settlement).count() == 0
-    rolled = rollups.ledger_by_payment(ledger), rollups.settlement_figures_by_payment(settlement)
+    rolled = rollups.ledger_by_payment(ledger), rollups.settlement_by_payment(settlement)
     assert quality.coverage_gaps(*rolled, matched).count() == 0
+    joined = reconcile.match_day(ledger, settlement)
+    assert sorted(matched.collect(), key=repr) == sorted(joined.select(*matched.columns).collect(), key=repr)
 
 
 def test_stored_day_is_rerunnable_and_other_days_stay(ledger, settlement, tmp_path):
@@ -193,6 +200,15 @@ def test_stored_day_is_rerunnable_and_other_days_stay(ledger, settlement, tmp_pa
     assert tables["reconciliation_report"].count() == 2
 
 
+def test_stored_day_whose_differences_vanish(ledger, settlement, tmp_path):
+    ours = ledger(("p", "capture", 10, "19:00:00"))
+    first = reconcile.reconcile_day(ours, settlement(), CUTOFF, DAY, str(tmp_path))
+    assert first["differences"].count() == 1
+    again = reconcile.reconcile_day(ours, settlement(("U1", "p", 10, DAY, None)), CUTOFF, DAY, str(tmp_path))
+    assert again["differences"].count() == 0
+    assert rows(again["reconciliation_report"]) == {(v.TOTAL_LABEL, None, None, None)}
+
+
 def test_stored_day_stops_on_a_failed_check(ledger, settlement, tmp_path):
     unexplained = settlement(("U1", "p", 10, DAY, None))
     with pytest.raises(quality.CheckFailed, match="accepted_values"):
