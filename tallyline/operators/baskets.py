@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 # The member that stands for guest checkouts, which have no customer id.
 GUEST = "GUEST"
 
+# As many products may qualify for pairs: a task then adds up a matrix of 32 MB, from blocks of
+# so many baskets.
+MAX_FREQUENT = 2000
+BLOCK = 1000
+
 
 def _customer_key():
     return F.coalesce("customer_id", F.lit(GUEST))
@@ -105,56 +115,72 @@ def basket_size_profile(lines: DataFrame) -> DataFrame:
     )
 
 
-def product_pairs(lines: DataFrame, folder: str, item: str = "sku", min_support: float = 0.01) -> DataFrame:
+def _count_together(batches: Iterator[pd.DataFrame], n_items: int) -> Iterator[pd.DataFrame]:
+    """Add up X'X over blocks of baskets, X being the basket-by-item indicator matrix."""
+    together = np.zeros((n_items, n_items), dtype=np.int64)
+    for batch in batches:
+        for start in range(0, len(batch), BLOCK):
+            baskets = batch["items"].iloc[start : start + BLOCK]
+            x = np.zeros((len(baskets), n_items), dtype=np.float32)
+            x[np.repeat(np.arange(len(baskets)), baskets.map(len)), np.concatenate(baskets.to_list())] = 1
+            together += (x.T @ x).astype(np.int64)
+    a, b = np.nonzero(np.triu(together, 1))
+    yield pd.DataFrame({"a": a, "b": b, "n": together[a, b]})
+
+
+def product_pairs(lines: DataFrame, item: str = "sku", min_support: float = 0.01) -> DataFrame:
     """Products bought together: baskets, support, confidence both ways and lift, exactly.
 
     Lists every pair held by at least ``min_support`` of the baskets. Only products that reach
     that support alone can be in one; there are at most (lines per basket / min_support) of
-    them, which bounds both the broadcast and the items kept per basket. The pairs come from
-    frequent-pattern growth and not from pairing up the lines of each basket. The mined item
-    sets are written to ``folder`` once because they are read three times.
+    them. They pass through the driver, which refuses more than ``MAX_FREQUENT``: ask for a
+    higher support then. A basket is cut down to those products, so however many lines it has
+    it is one bounded row, and each task adds its baskets up in one matrix instead of emitting
+    their pairs.
     """
     spark = lines.sparkSession
     bought = lines.select("order_id", F.col(item).alias("item")).distinct()
     baskets = lines.agg(F.count_distinct("order_id")).scalar()
     frequent = (
-        bought.groupBy(F.col("item").alias("frequent_item"))
+        bought.where(F.col("item").isNotNull())
+        .groupBy("item")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= F.ceil(F.lit(min_support) * baskets))
-        .select("frequent_item")
+        .limit(MAX_FREQUENT + 1)
+        .collect()
     )
-    # Baskets without a frequent product stay as empty ones: they count in the support.
-    transactions = (
-        bought.join(F.broadcast(frequent), F.col("item") == F.col("frequent_item"), "left")
-        .groupBy("order_id")
-        .agg(F.collect_set("frequent_item").alias("items"))
+    if len(frequent) > MAX_FREQUENT:
+        raise ValueError(f"more than {MAX_FREQUENT} products reach a support of {min_support}; raise it")
+    numbered = [(i, row["item"], row["n"]) for i, row in enumerate(sorted(frequent))]
+    schema = StructType(
+        [StructField("i", LongType()), StructField("item", lines.schema[item].dataType), StructField("n", LongType())]
     )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(transactions)
-    model.freqItemsets.write.mode("overwrite").parquet(folder)
-    sets = spark.read.parquet(folder)
-
-    alone = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("one"), F.col("freq"))
-    first = alone.select(F.col("one").alias("item_a"), F.col("freq").alias("baskets_a"))
-    second = alone.select(F.col("one").alias("item_b"), F.col("freq").alias("baskets_b"))
-    pairs = (
-        sets.where(F.size("items") == 2)
-        .select(F.array_sort("items").alias("pair"), F.col("freq").alias("baskets_both"))
-        .select(F.col("pair")[0].alias("item_a"), F.col("pair")[1].alias("item_b"), "baskets_both")
+    items = spark.createDataFrame(numbered, schema)
+    together = (
+        bought.join(F.broadcast(items), "item")
+        .groupBy("order_id")
+        .agg(F.collect_set("i").alias("items"))
+        .select("items")
+        .mapInPandas(partial(_count_together, n_items=len(numbered)), "a bigint, b bigint, n bigint")
+        .groupBy("a", "b")
+        .agg(F.sum("n").alias("baskets_both"))
+        .where(F.col("baskets_both") >= F.ceil(F.lit(min_support) * baskets))
     )
-    n = baskets.cast("double")
-    both = F.col("baskets_both").cast("double")
+    first = items.select(F.col("i").alias("a"), F.col("item").alias("item_a"), F.col("n").alias("baskets_a"))
+    second = items.select(F.col("i").alias("b"), F.col("item").alias("item_b"), F.col("n").alias("baskets_b"))
+    total, both = baskets.cast("double"), F.col("baskets_both").cast("double")
     return (
-        pairs.join(F.broadcast(first), "item_a")
-        .join(F.broadcast(second), "item_b")
+        together.join(F.broadcast(first), "a")
+        .join(F.broadcast(second), "b")
         .select(
             "item_a",
             "item_b",
             "baskets_both",
             "baskets_a",
             "baskets_b",
-            F.round(both / n, 6).alias("support"),
+            F.round(both / total, 6).alias("support"),
             F.round(both / F.col("baskets_a"), 6).alias("confidence_a_to_b"),
             F.round(both / F.col("baskets_b"), 6).alias("confidence_b_to_a"),
-            F.round(both * n / (F.col("baskets_a") * F.col("baskets_b")), 6).alias("lift"),
+            F.round(both * total / (F.col("baskets_a") * F.col("baskets_b")), 6).alias("lift"),
         )
     )

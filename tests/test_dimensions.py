@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -171,13 +172,28 @@ def test_basket_dimensions(spark):
     assert baskets.dim_date(staged.limit(0)).count() == 0
 
 
-def test_product_pairs_against_counting_by_hand(spark, tmp_path):
-    found = baskets.product_pairs(basket_lines(spark), str(tmp_path / "sets"), "sku", 0.5)
+def test_product_pairs_against_counting_by_hand(spark):
+    found = baskets.product_pairs(basket_lines(spark), "sku", 0.5)
     assert rows(found) == {("S1", "S2", 2, 2, 3, 0.5, 1.0, 0.666667, 1.333333)}
 
 
-def test_pairs_with_one_basket_holding_most_lines(spark, tmp_path):
+def test_pairs_with_one_basket_holding_most_lines(spark):
     wide = [("big", i, "C", f"S{i % 500}", "x", 1, 1, 0) for i in range(2000)]
     small = [(f"o{i}", j, "C", f"S{j}", "x", 1, 1, 0) for i in range(9) for j in (1, 2)]
-    found = baskets.product_pairs(lines(spark, *wide, *small), str(tmp_path / "sets"), "sku", 0.3)
+    found = baskets.product_pairs(lines(spark, *wide, *small), "sku", 0.3)
     assert rows(found, "item_a", "item_b", "baskets_both", "support") == {("S1", "S2", 10, 1.0)}
+
+
+def test_pairs_refuse_a_support_that_lets_too_many_products_in(spark):
+    wide = [("big", i, "C", f"S{i}", "x", 1, 1, 0) for i in range(baskets.MAX_FREQUENT + 1)]
+    with pytest.raises(ValueError, match="raise it"):
+        baskets.product_pairs(lines(spark, *wide), "sku", 0.5)
+
+
+def test_pairs_with_a_basket_of_every_qualifying_product(spark, monkeypatch):
+    monkeypatch.setattr(baskets, "MAX_FREQUENT", 300)
+    wide = [("big", i, "C", f"S{i}", "x", 1, 1, 0) for i in range(baskets.MAX_FREQUENT)]
+    single = [(f"o{i}-{n}", 1, "C", f"S{i}", "x", 1, 1, 0) for i in range(baskets.MAX_FREQUENT) for n in range(2)]
+    pairs = [(f"p{n}", i, "C", f"S{i}", "x", 1, 1, 0) for n in range(2) for i in (7, 9)]
+    found = baskets.product_pairs(lines(spark, *wide, *single, *pairs), "sku", 3 / (4 * baskets.MAX_FREQUENT))
+    assert rows(found, "item_a", "item_b", "baskets_both") == {("S7", "S9", 3)}
