@@ -6,8 +6,8 @@ Row-wise projections and key joins only; every category and cause occurs at ever
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from tallyline.functions.times import ts_literal
 
 DAY = "2025-09-15"
 PRIOR_DAY = "2025-09-14"
@@ -19,116 +19,97 @@ CURR_SNAPSHOT = "1998-06-01"
 RERUN_DAY = "2024-01-10"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _paise(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+_SCHEMAS: dict[str, StructType] = {}
 
 
-def _padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Its schema is read from the footer once per path, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def _seconds_into(day: str, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, ts_literal(f"{day} 00:00:00"))
+def _paise(amount: str) -> Column:
+    return F.expr(f"cast(round({amount} * 100) as bigint)")
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        k.alias("k"),
-        (k % 500).alias("b"),
-        _paise("o_totalprice").alias("amt"),
-        _padded("pay_", k, 12).alias("payment_id"),
-        F.concat(F.lit("M"), F.col("o_custkey").cast("string")).alias("merchant_id"),
-        F.when(k % 2 == 0, _paise("o_totalprice"))
-        .otherwise(F.floor(_paise("o_totalprice") / 2).cast("bigint"))
-        .alias("ref"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k",
+        "o_orderkey % 500 as b",
+        "cast(round(o_totalprice * 100) as bigint) as amt",
+        "concat('pay_', lpad(cast(o_orderkey as string), 12, '0')) as payment_id",
+        "concat('M', cast(o_custkey as string)) as merchant_id",
+        "cast(round(o_totalprice * 100) as bigint) div if(o_orderkey % 2 = 0, 1, 2) as ref",
     )
 
 
 def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture entries, and a refund entry for the refunded payments."""
-    k, b = F.col("k"), F.col("b")
-    late = b.between(25, 54)
-    captured_at = F.when(late, 64800 + k * 7919 % 21600).otherwise(k * 7919 % 64800)
-    refunded_at = F.when(b < 63, F.lit(43200)).otherwise(F.lit(64800)) + k * 104729 % 21600
-
-    def entry(tag: str, kind: str, amount: str, second: Column) -> Column:
-        return F.struct(
-            F.concat(F.lit("led_"), k.cast("string"), F.lit(tag)).alias("entry_id"),
-            F.lit(kind).alias("entry_type"),
-            F.col(amount).alias("amount_paise"),
-            _seconds_into(DAY, second).alias("entry_ts"),
-        )
-
-    capture = entry("c", "capture", "amt", captured_at)
-    refund = entry("r", "refund", "ref", refunded_at)
-    entries = F.when(b.between(59, 66), F.array(capture, refund)).otherwise(F.array(capture))
+    day = f"timestamp_ntz'{DAY} 00:00:00'"
+    captured_at = "if(b between 25 and 54, 64800 + k * 7919 % 21600, k * 7919 % 64800)"
+    refunded_at = "if(b < 63, 43200, 64800) + k * 104729 % 21600"
+    entry = "named_struct('tag', '{}', 'entry_type', '{}', 'amount_paise', {}, 'second', {})"
+    capture = entry.format("c", "capture", "amt", captured_at)
+    refund = entry.format("r", "refund", "ref", refunded_at)
+    entries = f"inline(if(b between 59 and 66, array({capture}, {refund}), array({capture})))"
     return (
         _payments(spark, sf_dir)
-        .where(b >= 25)
-        .select("k", "payment_id", "merchant_id", F.explode(entries).alias("e"))
-        .select(
-            "e.entry_id",
+        .where("b >= 25")
+        .selectExpr("k", "payment_id", "merchant_id", entries)
+        .selectExpr(
+            "concat('led_', cast(k as string), tag) as entry_id",
             "payment_id",
             "merchant_id",
-            "e.entry_type",
-            "e.amount_paise",
-            F.lit("INR").alias("currency"),
-            "e.entry_ts",
-            F.when(k % 4 == 0, "card").when(k % 4 == 1, "wallet").otherwise("upi").alias("method"),
+            "entry_type",
+            "amount_paise",
+            "'INR' as currency",
+            f"timestampadd(SECOND, second, {day}) as entry_ts",
+            "case k % 4 when 0 then 'card' when 1 then 'wallet' else 'upi' end as method",
         )
     )
 
 
 def _bank_rows(rows: DataFrame, settled_on: str) -> DataFrame:
     """Paise to the bank's rupees with two decimals, plus its fee and tax."""
-    def rupees(paise: Column) -> Column:
-        return (paise.cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+    def rupees(paise: str, name: str) -> str:
+        return f"cast(cast({paise} as decimal(18,0)) / 100 as decimal(18,2)) as {name}"
 
-    fee = F.floor(F.col("gross") / 50).cast("bigint")
-    tax = F.floor(F.col("fee_paise") * 18 / 100).cast("bigint")
     return (
-        rows.withColumn("fee_paise", fee)
-        .withColumn("tax_paise", tax)
-        .select(
+        rows.selectExpr("*", "floor(gross / 50) as fee_paise")
+        .selectExpr("*", "floor(fee_paise * 18 / 100) as tax_paise")
+        .selectExpr(
             "utr",
             "payment_id",
             "merchant_id",
-            rupees(F.col("gross")).alias("gross_amount"),
-            rupees(F.col("fee_paise")).alias("fee"),
-            rupees(F.col("tax_paise")).alias("tax"),
-            rupees(F.col("gross") - F.col("fee_paise") - F.col("tax_paise")).alias("net_amount"),
-            F.col("captured_on").cast("date").alias("captured_on"),
-            F.lit(settled_on).cast("date").alias("settled_on"),
+            rupees("gross", "gross_amount"),
+            rupees("fee_paise", "fee"),
+            rupees("tax_paise", "tax"),
+            rupees("gross - fee_paise - tax_paise", "net_amount"),
+            "captured_on",
+            f"date'{settled_on}' as settled_on",
             "remarks",
         )
     )
 
 
 def raw_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, b, amt = F.col("k"), F.col("b"), F.col("amt")
-    gross = (
-        F.when(b.between(59, 62), amt - F.col("ref"))
-        .when(b.between(67, 70) & (b % 2 == 1), amt + 1)
-        .when(b.between(67, 70), amt - 1)
-        .otherwise(amt)
-    )
-    copies = F.when(b.between(57, 58), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    gross = """case when b between 59 and 62 then amt - ref
+                    when b in (67, 69) then amt + 1
+                    when b in (68, 70) then amt - 1
+                    else amt end as gross"""
     rows = (
         _payments(spark, sf_dir)
-        .where(~b.between(25, 56))
-        .select("*", F.explode(copies).alias("copy"))
-        .select(
-            _padded("UTR", k * 2 + F.col("copy"), 14).alias("utr"),
+        .where("not b between 25 and 56")
+        .selectExpr("*", "explode(if(b in (57, 58), array(0, 1), array(0))) as copy")
+        .selectExpr(
+            "concat('UTR', lpad(cast(k * 2 + copy as string), 14, '0')) as utr",
             "payment_id",
             "merchant_id",
-            gross.alias("gross"),
-            F.when(b < 25, F.lit(PRIOR_DAY)).otherwise(F.lit(DAY)).alias("captured_on"),
-            F.when(F.col("copy") == 1, "RESUBMIT").alias("remarks"),
+            gross,
+            f"if(b < 25, date'{PRIOR_DAY}', date'{DAY}') as captured_on",
+            "if(copy = 1, 'RESUBMIT', null) as remarks",
         )
     )
     return _bank_rows(rows, DAY)
@@ -136,18 +117,16 @@ def raw_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_next_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next day's file: late captures arrive except every seventh, late refunds are netted."""
-    k, b = F.col("k"), F.col("b")
-    arrives = b.between(25, 54) & (k % 7 != 0)
     rows = (
         _payments(spark, sf_dir)
-        .where(arrives | b.between(63, 66))
-        .select(
-            _padded("UTN", k, 14).alias("utr"),
+        .where("b between 25 and 54 and k % 7 <> 0 or b between 63 and 66")
+        .selectExpr(
+            "concat('UTN', lpad(cast(k as string), 14, '0')) as utr",
             "payment_id",
             "merchant_id",
-            F.when(b < 63, F.col("amt")).otherwise(-F.col("ref")).alias("gross"),
-            F.lit(DAY).alias("captured_on"),
-            F.lit(None).cast("string").alias("remarks"),
+            "if(b < 63, amt, -ref) as gross",
+            f"date'{DAY}' as captured_on",
+            "cast(null as string) as remarks",
         )
     )
     return _bank_rows(rows, NEXT_DAY)
@@ -155,19 +134,18 @@ def raw_next_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_next_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next day's ledger: a few captures after the cut-off, so new items open."""
-    k = F.col("k")
     return (
         _payments(spark, sf_dir)
-        .where(F.col("b") == 499)
-        .select(
-            F.concat(F.lit("nxt_"), k.cast("string")).alias("entry_id"),
-            _padded("pay_n", k, 12).alias("payment_id"),
+        .where("b = 499")
+        .selectExpr(
+            "concat('nxt_', cast(k as string)) as entry_id",
+            "concat('pay_n', lpad(cast(k as string), 12, '0')) as payment_id",
             "merchant_id",
-            F.lit("capture").alias("entry_type"),
-            F.col("amt").alias("amount_paise"),
-            F.lit("INR").alias("currency"),
-            _seconds_into(NEXT_DAY, 64800 + k * 7919 % 21600).alias("entry_ts"),
-            F.lit("upi").alias("method"),
+            "'capture' as entry_type",
+            "amt as amount_paise",
+            "'INR' as currency",
+            f"timestampadd(SECOND, 64800 + k * 7919 % 21600, timestamp_ntz'{NEXT_DAY} 00:00:00') as entry_ts",
+            "'upi' as method",
         )
     )
 
