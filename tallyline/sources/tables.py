@@ -17,7 +17,7 @@ from tallyline.sources.partitions import counted, empty_partition, replace_parti
 
 BATCHED_ORDERS = StructType([*DAILY_ORDERS.fields, StructField("batch_day", DateType())])
 
-PENDING = "order_date date, batch_day date"
+DATES = "order_date date, batch_day date"
 
 # The daily file name, and the columns the daily orders must not leave empty.
 DAY_IN_PATH = r"orders_(\d{4}-\d{2}-\d{2})\.csv"
@@ -63,9 +63,39 @@ def _read_day(spark: SparkSession, path: str, day: date | str) -> DataFrame:
     return read_csv(spark, path, DAILY_ORDERS).withColumn("batch_day", date_literal(day))
 
 
+def _dates(df: DataFrame) -> set[date]:
+    """Distinct order dates on the driver; the calendar bounds them."""
+    return {row[0] for row in df.select("order_date").where("order_date is not null").distinct().collect()}
+
+
+def batch_dates(spark: SparkSession, table: str) -> DataFrame:
+    """Which order dates each batch holds or once held, a small table beside the orders.
+
+    It is extended before a batch is written and never shrinks, so after a crash it still names
+    every date whose figures may be out of step.
+    """
+    path = f"{table}_dates"
+    spark.createDataFrame([], DATES).write.mode("ignore").partitionBy("batch_day").parquet(path)
+    return spark.read.schema(DATES).parquet(path)
+
+
+def _dates_of_batch(spark: SparkSession, table: str, day: date | str) -> set[date]:
+    return _dates(batch_dates(spark, table).where(F.col("batch_day") == date_literal(day)))
+
+
+def _note_dates(spark: SparkSession, table: str, day: date | str, incoming: DataFrame) -> None:
+    known = _dates_of_batch(spark, table, day)
+    now = known | _dates(incoming)
+    if now != known:
+        noted = spark.createDataFrame([(d,) for d in sorted(now)], "order_date date")
+        replace_partition(noted, f"{table}_dates", "batch_day", str(day), date_literal(day))
+
+
 def append_day(spark: SparkSession, path: str, day: date | str, table: str) -> Loaded:
     """Append one day's file. Loading a day twice doubles it; :func:`replace_day` does not."""
-    rows, counter = counted(_read_day(spark, path, day))
+    incoming = _read_day(spark, path, day)
+    _note_dates(spark, table, day, incoming)
+    rows, counter = counted(incoming)
     rows.write.mode("append").partitionBy("batch_day").parquet(table)
     return Loaded(counter.get["rows"], _day_rows(spark, table, day).count())
 
@@ -85,7 +115,10 @@ def load_all_days(spark: SparkSession, paths: str, table: str, day_in_path: str
     """Rebuild the table from every daily file, without a shuffle: a file holds one day."""
     rows, counter = counted(read_days(spark, paths, day_in_path))
     rows.write.mode("overwrite").partitionBy("batch_day").parquet(table)
-    return Loaded(counter.get["rows"], orders_table(spark, table).count())
+    loaded = orders_table(spark, table)
+    dates = loaded.select("order_date", "batch_day").distinct()
+    dates.write.mode("overwrite").partitionBy("batch_day").parquet(f"{table}_dates")
+    return Loaded(counter.get["rows"], loaded.count())
 
 
 def replace_day(
@@ -105,16 +138,15 @@ def replace_day(
     if rows_read == 0 and not allow_empty:
         raise EmptyDelivery(f"{path} holds no rows; the table keeps its rows of {day}")
     assert_empty(null_counts(staged, REQUIRED), f"{path} leaves required columns empty")
+    _note_dates(spark, table, day, staged)
     replace_partition(staged.drop("batch_day"), table, "batch_day", str(day), date_literal(day))
     spark.createDataFrame([], BATCHED_ORDERS).write.mode("overwrite").parquet(staging)
     return Loaded(rows_read, _day_rows(spark, table, day).count())
 
 
 def rebuild_daily_fact(spark: SparkSession, table: str, fact: str) -> None:
-    """Write the whole daily fact, one partition per order date; no backfill is pending then."""
+    """Write the whole daily fact, one partition per order date."""
     daily_orders(orders_table(spark, table)).write.mode("overwrite").partitionBy("order_date").parquet(fact)
-    nothing_pending = spark.createDataFrame([], PENDING)
-    nothing_pending.write.mode("overwrite").partitionBy("batch_day").parquet(f"{fact}_pending")
 
 
 def daily_fact(spark: SparkSession, fact: str) -> DataFrame:
@@ -123,11 +155,6 @@ def daily_fact(spark: SparkSession, fact: str) -> DataFrame:
     return spark.read.schema(schema).parquet(fact).select(*columns)
 
 
-def _dates(df: DataFrame) -> set[date]:
-    """Distinct order dates on the driver; the calendar bounds them."""
-    return {row[0] for row in df.select("order_date").distinct().collect()}
-
-
 def backfill_day(
     spark: SparkSession,
     path: str,
@@ -139,33 +166,28 @@ def backfill_day(
 ) -> Loaded:
     """Replace a day's batch and recompute the fact for every order date it touches.
 
-    A batch feeds more than its own date (late orders), so the dates of the old and of the new
-    rows are both recomputed, over all batches that hold them. The old dates are noted beside
-    the fact before the batch goes, so a rerun after a crash in between still knows them.
+    A batch feeds more than its own date (late orders), and a corrected batch may no longer
+    hold a date it held before: all of them are recomputed.
     """
-    pending = f"{fact}_pending"
-    touched = _dates(_day_rows(spark, table, day)) | _pending_dates(spark, pending, day)
-    noted = spark.createDataFrame([(d,) for d in sorted(touched)], "order_date date")
-    replace_partition(noted, pending, "batch_day", str(day), date_literal(day))
     loaded = replace_day(spark, path, day, table, allow_empty=allow_empty)
-    refresh_daily_fact(spark, table, fact, touched | _dates(_day_rows(spark, table, day)))
-    empty_partition(noted, pending, "batch_day", str(day))
+    refresh_daily_fact(spark, table, fact, [day])
     return loaded
 
 
-def _pending_dates(spark: SparkSession, pending: str, day: date | str) -> set[date]:
-    """Dates an unfinished backfill of ``day`` noted."""
-    noted = spark.read.schema(PENDING).parquet(pending)
-    return _dates(noted.where(F.col("batch_day") == date_literal(day)))
+def refresh_daily_fact(spark: SparkSession, table: str, fact: str, days: list[date | str]) -> None:
+    """Recompute the fact for every order date that one of the batches ``days`` touched.
 
-
-def refresh_daily_fact(spark: SparkSession, table: str, fact: str, dates: set[date]) -> None:
-    """Recompute some dates of the fact; the date filter reaches the Parquet scan."""
+    Only the batches that hold such a date are read, and of them only its row groups.
+    """
+    held = batch_dates(spark, table)
+    batches = F.col("batch_day").isin([date.fromisoformat(str(day)) for day in days])
+    dates = sorted(_dates(held.where(batches)))
     if not dates:
         return
-    orders = orders_table(spark, table).where(F.col("order_date").isin(sorted(dates)))
+    of_dates = F.col("order_date").isin(dates)
+    sources = [row[0] for row in held.where(of_dates).select("batch_day").distinct().collect()]
+    orders = orders_table(spark, table).where(F.col("batch_day").isin(sources) & of_dates)
     recomputed = daily_orders(orders)
     replace_partitions(recomputed, fact, "order_date")
-    kept = _dates(orders.select("order_date"))
-    for gone in sorted(dates - kept):
+    for gone in sorted(set(dates) - _dates(orders)):
         empty_partition(recomputed, fact, "order_date", str(gone))

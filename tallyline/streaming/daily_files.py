@@ -24,9 +24,7 @@ def stream_daily_files(
         for day in days:
             replace_day(spark, f"{folder}/orders_{day}.csv", day, table)
         if fact and days:
-            rows = spark.read.parquet(table).where(F.col("batch_day").isin(days))
-            dates = {row[0] for row in rows.select("order_date").distinct().collect()}
-            refresh_daily_fact(spark, table, fact, dates)
+            refresh_daily_fact(spark, table, fact, days)
 
     listing = "path string, modificationTime timestamp, length bigint, content binary"
     files = (
