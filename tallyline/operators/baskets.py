@@ -13,9 +13,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 # The member that stands for guest checkouts, which have no customer id.
 GUEST = "GUEST"
 
-# As many products may qualify for pairs: a task then adds up a matrix of 32 MB, from blocks of
-# so many baskets.
+# As many products may qualify for pairs: a task then adds up a matrix of 32 MB. Baskets longer
+# than SHORT are added in blocks of BLOCK.
 MAX_FREQUENT = 2000
+SHORT = 32
 BLOCK = 1000
 
 
@@ -116,14 +117,24 @@ def basket_size_profile(lines: DataFrame) -> DataFrame:
 
 
 def _count_together(batches: Iterator[pd.DataFrame], n_items: int) -> Iterator[pd.DataFrame]:
-    """Add up X'X over blocks of baskets, X being the basket-by-item indicator matrix."""
+    """Add up which items share a basket in one matrix per task.
+
+    Short baskets of equal length are added element by element, long ones as X'X over blocks,
+    X being the basket-by-item indicator matrix.
+    """
     together = np.zeros((n_items, n_items), dtype=np.int64)
     for batch in batches:
-        for start in range(0, len(batch), BLOCK):
-            baskets = batch["items"].iloc[start : start + BLOCK]
-            x = np.zeros((len(baskets), n_items), dtype=np.float32)
-            x[np.repeat(np.arange(len(baskets)), baskets.map(len)), np.concatenate(baskets.to_list())] = 1
-            together += (x.T @ x).astype(np.int64)
+        for length, baskets in batch["items"].groupby(batch["items"].map(len)):
+            if length <= SHORT:
+                rows = np.sort(np.stack(baskets.to_list()), axis=1)
+                left, right = np.triu_indices(length, 1)
+                np.add.at(together, (rows[:, left], rows[:, right]), 1)
+                continue
+            for start in range(0, len(baskets), BLOCK):
+                rows = np.stack(baskets.iloc[start : start + BLOCK].to_list())
+                x = np.zeros((len(rows), n_items), dtype=np.float32)
+                np.put_along_axis(x, rows, 1, axis=1)
+                together += (x.T @ x).astype(np.int64)
     a, b = np.nonzero(np.triu(together, 1))
     yield pd.DataFrame({"a": a, "b": b, "n": together[a, b]})
 
