@@ -15,7 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
-    # Recording the Python call site of every expression triples the time to build a plan.
+    # Recording the Python call site of every expression about doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
