@@ -38,10 +38,14 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a bare test session) is a local folder used.
+    Only a local master, whose tasks all run on this machine, does without that setting; elsewhere
+    a local folder would leave each executor with its own part of the files.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         shared = tempfile.gettempdir() + "/tallyline"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

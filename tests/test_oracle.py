@@ -21,7 +21,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE) == set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
