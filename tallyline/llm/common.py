@@ -21,14 +21,11 @@ def whole_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def row_key(*columns: str) -> Column:
-    """A hash of the given columns that tells rows apart which differ in any of them, nulls included.
-
-    Rows that agree in all of them share it: operators treat them alike.
-    """
-    parts = [F.concat(F.lit("="), F.col(c).cast("string")) for c in columns]
-    marked = [F.concat(F.length(p).cast("string"), p) for p in parts]
-    return F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("null")) for p in marked]))
+def row_key(row_id: str, text: str) -> Column:
+    """A hash that tells rows apart which differ in id or text, nulls included; rows that agree in
+    both share it."""
+    parts = [F.concat(F.lit("="), p) for p in (F.col(row_id).cast("string"), F.md5(text))]
+    return F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("null")) for p in parts]))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm.common import table
+from tallyline.llm.lines import line_sql, remove_shared_lines
+from tallyline.llm.mixing import mix_sources, mix_sql
 from tallyline.llm.pieces import decode_pieces, encode_pieces
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +37,24 @@ def piece_digests(docs: DataFrame) -> DataFrame:
 @query
 def op4_sentencepiece(spark, sf):
     return piece_digests(table(spark, sf, "documents"))
+
+
+MIX_WEIGHTS = {"src0": 2.0}  # every other source has weight 1
+
+
+@query
+def op1_mix_sources(spark, sf):
+    return mix_sources(table(spark, sf, "documents"), MIX_WEIGHTS)
+
+
+LLM_ORACLE["op1_mix_sources"] = mix_sql(MIX_WEIGHTS)
+
+MIN_SITES = 10
+
+
+@query
+def op9_line_dedup(spark, sf):
+    return remove_shared_lines(table(spark, sf, "documents"), MIN_SITES).select("doc_id", "text", "n_removed")
+
+
+LLM_ORACLE["op9_line_dedup"] = line_sql(MIN_SITES)
