@@ -5,11 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyline.session import scratch_folder, written
 
-CHUNK_CHARS = 1 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,16 +36,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return written(df, scratch_folder(df.sparkSession, label))
 
 
-def in_chunks(texts: list, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts with about ``limit`` characters each; a longer text is a run of its own."""
-    start = size = 0
-    for at, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield start, at
-            start, size = at, 0
-        size += len(text) + 1
-    if start < len(texts):
-        yield start, len(texts)
+def in_chunks(values: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[list]:
+    """The values of a text or binary array in lists of about ``limit`` bytes; a longer value is a
+    list of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 8)
+    start = 0
+    while start < len(values):
+        before = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, before + limit, side="right")))
+        yield values.slice(start, end - start).to_pylist()
+        start = end
 
 
 def digest(data: bytes) -> str:

@@ -13,6 +13,7 @@ go through an ordered agenda instead, whose cost does not grow with their square
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ from tallyline.llm.common import in_chunks, read_bytes, whole_text
 
 SPACE = "▁"
 LONG_WORD = 512
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 NO_RANK = np.iinfo(np.int32).max
 PROBES = ("", " ", "Two  spaces, 3 words\n", "é日本 x" + SPACE + "y", "\x00<s>")
 
@@ -296,9 +297,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", ids: str =
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(proto)
         for batch in batches:
-            texts = batch.to_pylist()
-            rows = [row for a, b in in_chunks(texts) for row in model.encode(texts[a:b])]
-            yield pa.array(rows, pa.binary())
+            yield pa.array((row for texts in in_chunks(batch) for row in model.encode(texts)), pa.binary())
 
     return df.withColumn(ids, encoded(whole_text(text)))
 
@@ -311,8 +310,36 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str =
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(proto)
         for batch in batches:
-            rows = [b"" if row is None else row for row in batch.to_pylist()]
-            texts = [text for a, b in in_chunks(rows) for text in model.decode(rows[a:b])]
+            filled = batch.fill_null(b"")
+            texts = [text for rows in in_chunks(filled) for text in model.decode(rows)]
             yield pa.array(texts, pa.string(), mask=batch.is_null().to_numpy(zero_copy_only=False))
 
     return df.withColumn(text, decoded(F.col(ids)))
+
+
+DIGEST_TYPE = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def digest_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """Adds ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of ``encode_pieces`` and ``decode_pieces``
+    without sending ids and decoded texts back: a worker holds about a megabyte of text at a time.
+    Input columns of these names are replaced."""
+    proto = read_bytes(model_path)
+
+    @arrow_udf(DIGEST_TYPE)
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = model_of(proto)
+        for batch in batches:
+            counts, encoded, decoded = [], [], []
+            for texts in in_chunks(batch):
+                rows = model.encode(texts)
+                counts += [len(row) // 4 for row in rows]
+                encoded += [hashlib.sha256(row).hexdigest() for row in rows]
+                decoded += [hashlib.sha256(t.encode()).hexdigest() for t in model.decode(rows)]
+            parts = pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())
+            yield pa.StructArray.from_arrays(parts, ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    out = df.withColumn("__digests", digests(whole_text(text)))
+    for name in ("n_tokens", "ids_sha256", "decoded_sha256"):
+        out = out.withColumn(name, F.col("__digests")[name])
+    return out.drop("__digests")
