@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm.common import table
+from tallyline.llm.licenses import license_sql, scan_licenses
 from tallyline.llm.lines import line_sql, remove_shared_lines
 from tallyline.llm.mixing import mix_sources, mix_sql
-from tallyline.llm.pieces import decode_pieces, encode_pieces
+from tallyline.llm.pages import extract_text
+from tallyline.llm.pieces import digest_pieces
+from tallyline.llm.token_files import read_token_files, write_token_files
+from tallyline.session import scratch_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -23,20 +27,9 @@ def query(function):
     return function
 
 
-def piece_digests(docs: DataFrame) -> DataFrame:
-    """One row per document: number and digest of its ids, digest of what they decode to."""
-    encoded = encode_pieces(docs.select("doc_id", "text"), PIECE_MODEL)
-    return decode_pieces(encoded, PIECE_MODEL).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
-
-
 @query
 def op4_sentencepiece(spark, sf):
-    return piece_digests(table(spark, sf, "documents"))
+    return digest_pieces(table(spark, sf, "documents").select("doc_id", "text"), PIECE_MODEL).drop("text")
 
 
 MIX_WEIGHTS = {"src0": 2.0}  # every other source has weight 1
@@ -58,3 +51,28 @@ def op9_line_dedup(spark, sf):
 
 
 LLM_ORACLE["op9_line_dedup"] = line_sql(MIN_SITES)
+
+
+@query
+def op3_license_scan(spark, sf):
+    return scan_licenses(table(spark, sf, "documents").select("doc_id", "text")).drop("text", "found")
+
+
+LLM_ORACLE["op3_license_scan"] = license_sql()
+
+
+@query
+def op2_html_extraction(spark, sf):
+    return extract_text(table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
+
+
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
+
+
+@query
+def op7_token_files(spark, sf):
+    """The digests come from the files, not from what was written to them."""
+    folder = scratch_folder(spark, "tokens")
+    write_token_files(table(spark, sf, "documents"), WORD_TOKENIZER, folder, END_ID)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
