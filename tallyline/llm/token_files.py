@@ -2,8 +2,8 @@
 
 A file is a table of blocks in ascending order of documents. A block holds up to ``BLOCK_DOCS``
 documents: their ids and numbers of tokens, the compressed frames one after another, the offsets at
-which each begins, and the hash of the dictionary they need, so that one short document is read by
-its block's row and one frame. Blocks are Parquet rows and written by Spark's committer: a lost
+which each begins, how many ids the part of the range holds before them, and the hash of the
+dictionary they need, so that one short document is read by its block's row and one frame. Blocks are Parquet rows and written by Spark's committer: a lost
 task leaves nothing behind. A one-row table holds the dictionary itself.
 
 The dictionary is trained on the serialized ids of a bounded sample (``SAMPLE_DOCS`` documents of at
@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm.common import digest, in_chunks, read_bytes, row_key, whole_text
 
@@ -28,24 +28,26 @@ SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8000
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 BLOCK_DOCS, BLOCK_BYTES = 512, 4 << 20
-KNOWN_CHUNKS, KNOWN_WORDS = 300_000, 200_000
+KNOWN_WORDS = 300_000
 WORDS_A_CALL = 1000
 
 # Texts with other white space than this, or with control characters that one library splits at and
 # the other does not, go to the tokenizer whole; so do texts that may hold a special token.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\\|")
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e\u0180-\u01bf\u01cd-\u024f"
-SIMPLE = re.compile(f"[\x21-\x7e{LETTERS}]+")
+SIGNS = "\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7\u2010-\u2027\u2030-\u205e"
+SIMPLE = re.compile(f"[\\s\x21-\x7e{LETTERS}{SIGNS}]+")
 # The tokenizer file's own split pattern, for the characters of SIMPLE.
-WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+")
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
+RAW = "\0"  # marks a chunk that is not split further here
 
 
 class IdEncoder:
-    """Ids as the tokenizers library gives them, with bounded tables of known chunks and words.
+    """Ids as the tokenizers library gives them, with a bounded table of known words.
 
     The tokenizer drops white space and encodes word by word, so that a text's ids are those of its
-    chunks between white space, and a plain chunk's are those of its words. Unknown words go to the
-    library many at a time, in one text: the last id of each word is marked in the vocabulary.
+    words. Unknown words go to the library many at a time, in one text: the last id of each word is
+    marked in the vocabulary. Chunks with other characters than the common ones go to it as they are.
     """
 
     def __init__(self, tokenizer: bytes):
@@ -59,13 +61,12 @@ class IdEncoder:
         vocabulary = settings["model"]["vocab"]
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         for start in range(0, len(words), WORDS_A_CALL):
             some = words[start : start + WORDS_A_CALL]
             ids = self._encode(" ".join(some))
@@ -74,31 +75,37 @@ class IdEncoder:
                 raise ValueError("the tokenizer splits words otherwise than expected")
             data, begin = ids.tobytes(), 0
             for word, end in zip(some, ends.tolist(), strict=True):
-                self.words[word] = data[begin:end]
+                self.known[word] = data[begin:end]
                 begin = end
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.words) > KNOWN_WORDS:
-            self.words.clear()
-        known = self.words
-        split = [WORDS.findall(chunk.lower()) if SIMPLE.fullmatch(chunk) else None for chunk in chunks]
-        self._learn_words(list({w: None for words in split if words for w in words if w not in known}))
-        for chunk, words in zip(chunks, split, strict=True):
-            self.chunks[chunk] = self._encode(chunk).tobytes() if words is None else b"".join([known[w] for w in words])
+    @staticmethod
+    def split(text: str) -> list[str]:
+        if SIMPLE.fullmatch(text):
+            return WORDS.findall(text.lower())
+        chunks = text.split()
+        return [w for c in chunks for w in (WORDS.findall(c.lower()) if SIMPLE.fullmatch(c) else (RAW + c,))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers, without special ones."""
-        if len(self.chunks) > KNOWN_CHUNKS:
-            self.chunks.clear()
-        split = [None if ODD_SPACE.search(text) else text.split() for text in texts]
-        known = self.chunks
-        new = {chunk: None for chunks in split if chunks for chunk in chunks if chunk not in known}
-        if new:
-            self._learn(list(new))
-        return [
-            self._encode(text).tobytes() if chunks is None else b"".join([known[c] for c in chunks])
-            for text, chunks in zip(texts, split, strict=True)
-        ]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        words: list[str] = []
+        ends, whole = [], {}
+        for at, text in enumerate(texts):
+            if ODD_SPACE.search(text) or RAW in text:
+                whole[at] = self._encode(text).tobytes()
+            else:
+                words += self.split(text)
+            ends.append(len(words))
+        found = list(map(self.known.get, words))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        new = dict.fromkeys(words[i] for i in unknown)
+        self._learn([w for w in new if w[0] != RAW])
+        self.known.update({w: self._encode(w[1:]).tobytes() for w in new if w[0] == RAW})
+        for i in unknown:
+            found[i] = self.known[words[i]]
+        starts = [0, *ends]
+        return [whole[at] if at in whole else b"".join(found[starts[at] : end]) for at, end in enumerate(ends)]
 
 
 @lru_cache(maxsize=2)
@@ -130,11 +137,11 @@ def train_dictionary(docs: DataFrame, tokenizer: bytes, end_id: int, doc_id: str
 
 BLOCK_TYPE = (
     "part int, block int, dictionary_sha256 string, doc_ids array<bigint>, n_tokens array<bigint>, "
-    "offsets array<bigint>, frames binary, total bigint"
+    "offsets array<bigint>, frames binary, before bigint, total bigint"
 )
 BLOCK_SCHEMA = pa.schema([
     ("part", pa.int32()), ("block", pa.int32()), ("dictionary_sha256", pa.string()), ("doc_ids", pa.list_(pa.int64())),
-    ("n_tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("frames", pa.binary()), ("total", pa.int64()),
+    ("n_tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("frames", pa.binary()), ("before", pa.int64()), ("total", pa.int64()),
 ])
 
 
@@ -158,12 +165,12 @@ def write_token_files(
         from pyspark import TaskContext
 
         encoder, compressor = encoder_of(tokenizer), compressor_of(dictionary)
-        part, number = TaskContext.get().partitionId(), 0
+        part, number, before = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames, held = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             offsets = np.cumsum([0] + [len(f) for f in frames[:-1]]).tolist()
-            row = [part, number, name, ids, counts, offsets, b"".join(frames), sum(counts)]
+            row = [part, number, name, ids, counts, offsets, b"".join(frames), before, sum(counts)]
             return pa.RecordBatch.from_pylist([dict(zip(BLOCK_SCHEMA.names, row, strict=True))], BLOCK_SCHEMA)
 
         for batch in batches:
@@ -176,7 +183,8 @@ def write_token_files(
                     held += len(frames[-1])
                     if len(ids) >= BLOCK_DOCS or held >= BLOCK_BYTES:
                         yield block()
-                        ids, counts, frames, held, number = [], [], [], 0, number + 1
+                        before, number = before + sum(counts), number + 1
+                        ids, counts, frames, held = [], [], [], 0
         if ids:
             yield block()
 
@@ -197,10 +205,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # One row per part of the range: as many as the files were written in.
     totals = sorted(blocks.groupBy("part").agg(F.sum("total")).collect())
     before = np.cumsum([0] + [total for _, total in totals]).tolist()
-    starts = spark.createDataFrame([(part, at) for (part, _), at in zip(totals, before, strict=False)], "part int, before bigint")
-    earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    index = blocks.select("part", "block", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("in_part"))
-    index = index.join(F.broadcast(starts), "part").select("part", "block", (F.col("before") + F.col("in_part")).alias("at"))
+    parts = spark.createDataFrame([(part, at) for (part, _), at in zip(totals, before, strict=False)], "part int, earlier bigint")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompressor = decompressor_of(dictionary)
@@ -213,10 +218,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 frames = [values["frames"][a:b] for a, b in zip(values["offsets"], ends, strict=True)]
                 ids = [decompressor.decompress(frame) for frame in frames]
                 counts = np.array(values["n_tokens"], np.int64)
-                begins = values["at"] + np.cumsum(counts) - counts
+                begins = values["earlier"] + values["before"] + np.cumsum(counts) - counts
                 columns = [pa.array(values["doc_ids"], pa.int64()), pa.array(begins), pa.array(counts), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
 
-    placed = blocks.drop("total").join(index, ["part", "block"])
-    return placed.mapInArrow(documents, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
-
+    return blocks.join(F.broadcast(parts), "part").mapInArrow(documents, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
