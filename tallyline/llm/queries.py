@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyline.llm.common import table
 from tallyline.llm.licenses import license_sql, scan_licenses
 from tallyline.llm.lines import line_sql, remove_shared_lines
+from tallyline.llm.minhash import near_duplicates
 from tallyline.llm.mixing import mix_sources, mix_sql
 from tallyline.llm.pages import extract_text
 from tallyline.llm.pieces import digest_pieces
@@ -76,3 +77,8 @@ def op7_token_files(spark, sf):
     folder = scratch_folder(spark, "tokens")
     write_token_files(table(spark, sf, "documents"), WORD_TOKENIZER, folder, END_ID)
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op6_minhash_dedup(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"), shingle=4)
