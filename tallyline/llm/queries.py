@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline.llm.common import table
+from tallyline.llm.embedding_dups import embedding_duplicates
 from tallyline.llm.licenses import license_sql, scan_licenses
 from tallyline.llm.lines import line_sql, remove_shared_lines
 from tallyline.llm.minhash import near_duplicates
@@ -82,3 +83,8 @@ def op7_token_files(spark, sf):
 @query
 def op6_minhash_dedup(spark, sf):
     return near_duplicates(table(spark, sf, "documents"), shingle=4)
+
+
+@query
+def op5_embedding_dedup(spark, sf):
+    return embedding_duplicates(table(spark, sf, "embeddings"), cosine=0.95)
