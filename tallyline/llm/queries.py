@@ -15,6 +15,7 @@ from tallyline.llm.minhash import near_duplicates
 from tallyline.llm.mixing import mix_sources, mix_sql
 from tallyline.llm.pages import extract_text
 from tallyline.llm.pieces import digest_pieces
+from tallyline.llm.posting_lists import nearest_neighbours
 from tallyline.llm.token_files import read_token_files, write_token_files
 from tallyline.session import scratch_folder
 
@@ -88,3 +89,8 @@ def op6_minhash_dedup(spark, sf):
 @query
 def op5_embedding_dedup(spark, sf):
     return embedding_duplicates(table(spark, sf, "embeddings"), cosine=0.95)
+
+
+@query
+def op10_nearest_neighbours(spark, sf):
+    return nearest_neighbours(table(spark, sf, "embeddings"), query_every=100)
