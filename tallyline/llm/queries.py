@@ -17,6 +17,7 @@ from tallyline.llm.pages import extract_text
 from tallyline.llm.pieces import digest_pieces
 from tallyline.llm.posting_lists import nearest_neighbours
 from tallyline.llm.token_files import read_token_files, write_token_files
+from tallyline.llm.toxicity import held_out, score_toxicity, train_toxicity
 from tallyline.session import scratch_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,11 @@ def op5_embedding_dedup(spark, sf):
 @query
 def op10_nearest_neighbours(spark, sf):
     return nearest_neighbours(table(spark, sf, "embeddings"), query_every=100)
+
+
+@query
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, train_toxicity(docs, table(spark, sf, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)

@@ -27,28 +27,35 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[str], word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, lower-cased in A-Z, and the number of words of each text.
+class Words:
+    """The words of many texts: where they stand in ``data`` (lower-cased in A-Z), their 64-bit hashes,
+    and how many each text has.
 
     Characters beyond ASCII are word characters, so that words can be told by bytes. A byte's code
     depends on its place in the word; the sum of the codes is mixed.
     """
-    encoded = [text.encode("utf-8", "surrogatepass") for text in texts]
-    data = UPPER_TO_LOWER[np.frombuffer(b"\n".join(encoded) + b"\n", np.uint8)]
-    inside = word_bytes[data]
-    edges = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    bounds = np.cumsum([0] + [len(e) + 1 for e in encoded])
-    counts = np.diff(np.searchsorted(starts, bounds))
-    if not len(starts):
-        return np.empty(0, np.uint64), counts
-    lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
-    codes = BYTE_CODES.ravel()[(place % PLACES) * 256 + data[inside]]
-    if lengths.max() > PLACES:
-        codes *= (2 * (place // PLACES) + 1).astype(np.uint64)
-    return mixed(np.add.reduceat(codes, first) + lengths.astype(np.uint64)), counts
+
+    def __init__(self, texts: list[str], word_bytes: np.ndarray):
+        encoded = [text.encode("utf-8", "surrogatepass") for text in texts]
+        self.data = UPPER_TO_LOWER[np.frombuffer(b"\n".join(encoded) + b"\n", np.uint8)]
+        inside = word_bytes[self.data]
+        edges = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
+        self.starts, self.lengths = edges[::2], edges[1::2] - edges[::2]
+        bounds = np.cumsum([0] + [len(e) + 1 for e in encoded])
+        self.counts = np.diff(np.searchsorted(self.starts, bounds))
+        self.hashes = np.empty(0, np.uint64)
+        if len(self.starts):
+            first = np.cumsum(self.lengths) - self.lengths
+            place = np.arange(first[-1] + self.lengths[-1]) - np.repeat(first, self.lengths)
+            codes = BYTE_CODES.ravel()[(place % PLACES) * 256 + self.data[inside]]
+            if self.lengths.max() > PLACES:
+                codes *= (2 * (place // PLACES) + 1).astype(np.uint64)
+            self.hashes = mixed(np.add.reduceat(codes, first) + self.lengths.astype(np.uint64))
+
+
+def word_hashes(texts: list[str], word_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    words = Words(texts, word_bytes)
+    return words.hashes, words.counts
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
