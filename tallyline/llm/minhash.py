@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
@@ -155,8 +155,7 @@ class Search:
 
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.percent = percent
-        text = whole_text("text")
-        keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(row_key("doc_id", "text")).alias("row"))
+        keyed = docs.select("doc_id", whole_text("text").alias("text"), "row")
         described = keyed.withColumn("d", _described(size, False)("text")).select("doc_id", "row", "d.*")
         self.rows = stored(described, "signatures")
         self.shared = self._shared_buckets()
@@ -244,10 +243,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     no link. A null id counts as larger than any other; rows without an id get the id of their
     component, if it has one. Rows that repeat an id are kept or not together with it.
     """
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return _near_duplicates(docs, shingle, percent, doc_id, text).drop("row")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, with all of their columns."""
+    gone = _near_duplicates(docs, shingle, percent, doc_id, text).where(~F.col("kept")).select(F.col("row").alias("__gone")).distinct()
+    return docs.join(gone, _row(doc_id, text) == F.col("__gone"), "left_anti")
+
+
+def _row(doc_id: str, text: str) -> Column:
+    return F.xxhash64(row_key(doc_id, text))
+
+
+def _near_duplicates(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), _row(doc_id, text).alias("row"))
     search = Search(docs, shingle, percent)
-    rows = search.rows.select("doc_id", "n_shingles", "node").join(search.run(), "node", "left")
+    rows = search.rows.select("doc_id", "n_shingles", "node", "row").join(search.run(), "node", "left")
     rows = rows.withColumn("label", F.coalesce("root", "node"))
     smallest = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     out = rows.join(smallest, "label", "left").withColumn("component_id", F.coalesce("smallest", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return out.select("doc_id", "n_shingles", "component_id", kept, "row")

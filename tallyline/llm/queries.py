@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tallyline.llm.common import table
 from tallyline.llm.embedding_dups import embedding_duplicates
 from tallyline.llm.licenses import license_sql, scan_licenses
@@ -16,6 +16,7 @@ from tallyline.llm.mixing import mix_sources, mix_sql
 from tallyline.llm.pages import extract_text
 from tallyline.llm.pieces import digest_pieces
 from tallyline.llm.posting_lists import nearest_neighbours
+from tallyline.llm.settings import END_ID, MIN_SITES, MIX_WEIGHTS, PIECE_MODEL, TOXIC, WORD_TOKENIZER
 from tallyline.llm.token_files import read_token_files, write_token_files
 from tallyline.llm.toxicity import held_out, score_toxicity, train_toxicity
 from tallyline.session import scratch_folder
@@ -23,8 +24,6 @@ from tallyline.session import scratch_folder
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
 
-PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
-
 
 def query(function):
     LLM_QUERIES[function.__name__] = function
@@ -36,9 +35,6 @@ def op4_sentencepiece(spark, sf):
     return digest_pieces(table(spark, sf, "documents").select("doc_id", "text"), PIECE_MODEL).drop("text")
 
 
-MIX_WEIGHTS = {"src0": 2.0}  # every other source has weight 1
-
-
 @query
 def op1_mix_sources(spark, sf):
     return mix_sources(table(spark, sf, "documents"), MIX_WEIGHTS)
@@ -46,8 +42,6 @@ def op1_mix_sources(spark, sf):
 
 LLM_ORACLE["op1_mix_sources"] = mix_sql(MIX_WEIGHTS)
 
-MIN_SITES = 10
-
 
 @query
 def op9_line_dedup(spark, sf):
@@ -70,10 +64,6 @@ def op2_html_extraction(spark, sf):
     return extract_text(table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
 
 
-WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-END_ID = 2
-
-
 @query
 def op7_token_files(spark, sf):
     """The digests come from the files, not from what was written to them."""
@@ -101,5 +91,10 @@ def op10_nearest_neighbours(spark, sf):
 def op8_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     scored = score_toxicity(docs, train_toxicity(docs, table(spark, sf, "labels")))
-    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    predicted = (F.col("score") >= TOXIC).cast("int").alias("predicted")
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
+@query
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
