@@ -25,7 +25,7 @@ from tallyline.llm.common import stored
 from tallyline.llm.hnsw import Graph
 from tallyline.llm.vectors import matrix, usable_vectors
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 20_000  # on average; twice as many at most
 ROWS_PER_CENTROID = 16  # at least, of the sample
 ROUNDS = 8
 CROWDING = 0.3  # how much a cluster of twice the mean size seems farther away
@@ -169,7 +169,9 @@ def nearest_neighbours(
 
 
 def _search(rows: DataFrame, count: int, query_every: int, k: int) -> DataFrame:
-    sample = rows.orderBy(F.xxhash64("row"), "uid").select("vector").limit(SAMPLE_ROWS).toArrow()
+    share = min(1.0, SAMPLE_ROWS / count)
+    chance = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(1 << 30)) / (1 << 30)
+    sample = rows.where(chance < share).select("vector").limit(2 * SAMPLE_ROWS).toArrow()
     lists = fit_lists(matrix(sample["vector"]), count)
 
     @arrow_udf("array<int>")
