@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,15 +13,34 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import tallyline
 from tallyline.session import scratch_folder, written
 
 CHUNK_BYTES = 1 << 20
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Lets the Python workers import this package, once per application: the driver serves a zip of
+    its code. Nothing is done where the package itself came in an archive that the workers have."""
+    root = os.path.dirname(os.path.abspath(tallyline.__file__))
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED or not os.path.isdir(root):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyline-"), "tallyline_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def whole_text(text: str | Column) -> Column:
     """The text, with null taken as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

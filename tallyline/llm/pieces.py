@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyline.llm.common import in_chunks, read_bytes, whole_text
+from tallyline.llm.common import in_chunks, read_bytes, ship_package, whole_text
 
 SPACE = "▁"
 LONG_WORD = 512
@@ -291,6 +291,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", ids: str =
     Null and empty texts have the begin and end ids alone. Rows are independent, so repeated rows
     and any other columns stay as they are; a column already named ``ids`` is replaced.
     """
+    ship_package(df.sparkSession)
     proto = read_bytes(model_path)
 
     @arrow_udf("binary")
@@ -304,6 +305,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", ids: str =
 
 def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the column ``text`` decoded from ids as ``encode_pieces`` writes them; null ids give null."""
+    ship_package(df.sparkSession)
     proto = read_bytes(model_path)
 
     @arrow_udf("string")
@@ -324,6 +326,7 @@ def digest_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFra
     """Adds ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of ``encode_pieces`` and ``decode_pieces``
     without sending ids and decoded texts back: a worker holds about a megabyte of text at a time.
     Input columns of these names are replaced."""
+    ship_package(df.sparkSession)
     proto = read_bytes(model_path)
 
     @arrow_udf(DIGEST_TYPE)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyline.llm.common import stored
+from tallyline.llm.common import ship_package, stored
 from tallyline.llm.hnsw import Graph
 from tallyline.llm.vectors import matrix, usable_vectors
 
@@ -158,6 +158,7 @@ def nearest_neighbours(
     take no part; vectors are compared with those of their own length. Of rows that repeat an id and
     vector only the query's own is left out of its result.
     """
+    ship_package(df.sparkSession)
     rows = usable_vectors(df, vec_id, embedding).withColumn("uid", F.monotonically_increasing_id())
     rows = stored(rows, "vectors")
     sizes = sorted((dim, count) for dim, count in rows.groupBy("dim").count().collect())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyline.llm.common import in_chunks, whole_text
+from tallyline.llm.common import in_chunks, ship_package, whole_text
 from tallyline.llm.recurrent import Adam, Weights, gradients, initial, logits, sigmoid
 from tallyline.llm.words import BYTE_CODES, Words, mixed
 
@@ -241,6 +241,8 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", score: str
     """Adds the score of the whole text, from 0 to 1; null and empty texts have that of a window without
     words. Rows are independent; an input column named as the new one is replaced."""
 
+    ship_package(docs.sparkSession)
+
     @arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
