@@ -1,7 +1,7 @@
 """License scans: ordered signature rules over the words of a text, in DataFrame functions alone.
 
 A text becomes one string in which every word stands between two spaces of its own. A document that
-holds none of the keywords is done; else the rules whose keyword it holds are applied as regular
+holds no word that begins with one of the keywords is done; else the rules whose keyword it holds are applied as regular
 expressions, and each match is an interval of words. Rules have a tier (1 is surest). A detection
 whose interval lies within that of another is suppressed if the other's tier is better, or equal and
 its interval longer (or the same and its rule earlier). Everything happens within the row: nothing
@@ -202,7 +202,7 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
     rules = [dict(zip(("label", "keyword", "pattern", "tier", "base", "number"), (*r, i), strict=True)) for i, r in enumerate(RULES)]
     all_rules = F.from_json(F.lit(json.dumps(rules)), RULE_TYPE)
     words = F.col("__words")
-    held = [F.when(words.contains(f" {k} "), F.lit(k)) for k in KEYWORDS]
+    held = [F.when(words.contains(f" {k}"), F.lit(k)) for k in KEYWORDS]
     gated = F.filter(all_rules, lambda r: F.array_contains("__keywords", r["keyword"]))
     detections = F.when(F.size("__keywords") > 0, F.array_sort(F.flatten(F.transform(gated, lambda r: _matches(words, r)))))
     base = F.filter("__all", lambda d: d["base"])
@@ -243,7 +243,7 @@ spaced AS (
 marked AS (
     SELECT doc_id, label, tier, base, number,
            string_split(replace(regexp_replace(words, '(?s:(' || pattern || '))', chr(1) || '\1' || chr(2), 'g'), chr(2), chr(1)), chr(1)) AS parts
-    FROM worded JOIN rules ON contains(words, ' ' || keyword || ' ') AND regexp_matches(words, pattern)
+    FROM worded JOIN rules ON contains(words, ' ' || keyword) AND regexp_matches(words, pattern)
 ), parts AS (
     SELECT * EXCLUDE (parts), unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM marked
 ), counted AS (
