@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyline.llm.common import in_chunks, whole_text
+from tallyline.llm.common import in_chunks, ship_package, whole_text
 from tallyline.llm.trees import Tree
 
 TAG = re.compile(
@@ -54,8 +54,11 @@ LABELLED = [
     (1, 0, 0, 0, 3, 2, 10, 1, 0, 0.9, 1), (1, 0, 0, 0, 90, 30, 3, 0, 0.3, 1, 1), (1, 0, 1, 0, 6, 1, 1, 1, 0, 0, 1),
     (1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1), (1, 0, 0, 0, 0, 5, 0, 0, 0, 0, 1), (1, 0, 0, 0, 0, 2, 30, 0, 0, 0, 1),
     (1, 0, 0, 0, 12, 25, 12, 1, 0.6, 1, 1), (1, 0, 1, 0, 4, 5, 3, 1, 1, 0.1, 1), (1, 0, 0, 0, 8, 15, 9, 0, 0, 1, 1),
-    # Lists of nothing but links inside an article
-    (1, 0, 0, 1, 3, 3, 3, 1, 1, 1, 0), (1, 0, 0, 1, 2, 4, 3, 1, 1, 1, 0), (1, 0, 0, 1, 5, 1, 2, 1, 1, 1, 0),
+    # Inside an article: its last lines before menus and footers, and its own lists of links
+    (1, 0, 0, 0, 50, 2, 3, 0, 0, 1, 1), (1, 0, 0, 0, 30, 6, 2, 0, 0, 1, 1), (1, 0, 0, 1, 6, 4, 2, 0, 0, 1, 1),
+    (1, 0, 1, 0, 1, 5, 1, 1, 0, 0, 1), (1, 0, 1, 0, 2, 8, 3, 1, 0, 0, 1), (1, 0, 0, 0, 1, 20, 2, 1, 0, 0, 1),
+    (1, 0, 0, 0, 2, 1, 1, 1, 0, 0, 1), (1, 0, 0, 0, 3, 2, 0, 1, 0, 0, 1), (1, 0, 0, 0, 2, 3, 2, 1, 0, 1, 1),
+    (1, 0, 0, 1, 3, 3, 3, 1, 1, 1, 1), (1, 0, 0, 1, 2, 4, 3, 1, 1, 1, 1), (1, 0, 0, 0, 5, 1, 2, 1, 1, 1, 1),
     # Inside menus, footers, sidebars, forms, adverts, comments, whatever they hold
     (0, 1, 0, 1, 0, 1, 1, 0, 1, 1, 0), (0, 1, 0, 1, 2, 2, 2, 1, 1, 1, 0), (0, 1, 0, 0, 1, 9, 10, 1, 0, 0, 0),
     (0, 1, 0, 0, 40, 8, 0, 0, 0, 0, 0), (0, 1, 0, 0, 90, 60, 70, 0, 0, 0, 0), (0, 1, 1, 0, 5, 3, 40, 1, 0, 0, 0),
@@ -68,7 +71,13 @@ LABELLED = [
     (0, 0, 1, 0, 50, 3, 60, 0, 0, 0, 1), (0, 0, 0, 0, 4, 30, 3, 1, 0.1, 1, 1), (0, 0, 0, 1, 30, 20, 18, 0, 0, 0, 1),
     (0, 0, 1, 0, 0, 9, 30, 0, 0, 0.1, 1), (0, 0, 0, 0, 0, 50, 0, 0, 0, 0, 1), (0, 0, 0, 0, 0, 7, 0, 0, 0, 0, 1),
     (0, 0, 0, 0, 0, 2, 0, 0, 0, 0, 1), (0, 0, 0, 1, 25, 5, 30, 0, 0, 0, 1),
+    (0, 0, 0, 1, 24, 5, 2, 0, 0, 0, 1), (0, 0, 0, 1, 5, 2, 20, 0, 0, 0, 1), (0, 0, 0, 1, 3, 4, 3, 0, 0, 0, 1),
+    (0, 0, 0, 0, 22, 5, 2, 0, 0, 0, 1), (0, 0, 0, 0, 30, 2, 3, 0, 0, 0, 1), (0, 0, 0, 0, 2, 3, 40, 0, 0, 0, 1),
+    (0, 0, 1, 0, 1, 1, 40, 1, 0, 0, 1), (0, 0, 1, 0, 2, 4, 30, 1, 0, 0.1, 1), (0, 0, 1, 0, 3, 2, 80, 1, 0, 0, 1),
+    (0, 0, 0, 0, 0, 3, 0, 0, 0, 0, 1), (0, 0, 0, 0, 0, 4, 12, 0, 0, 0, 1), (0, 0, 0, 0, 12, 5, 30, 0, 0, 0, 1),
     # ... and what surrounds them
+    (0, 0, 0, 0, 1, 1, 1, 1, 1, 0, 0), (0, 0, 0, 1, 2, 2, 4, 1, 1, 0, 0), (0, 0, 0, 0, 3, 2, 60, 1, 1, 0, 0),
+    (0, 0, 0, 0, 0, 2, 5, 0, 1, 0, 0), (0, 0, 0, 0, 4, 6, 30, 0.8, 0.9, 0.1, 0), (0, 0, 0, 1, 3, 1, 9, 1, 1, 0, 0),
     (0, 0, 0, 0, 2, 3, 2, 1, 1, 1, 0), (0, 0, 0, 1, 2, 2, 3, 1, 1, 1, 0), (0, 0, 0, 0, 60, 4, 2, 0, 0.8, 1, 0),
     (0, 0, 0, 0, 60, 5, 0, 0, 0, 0, 0), (0, 0, 0, 0, 3, 12, 3, 1, 0.9, 1, 0), (0, 0, 0, 0, 0, 3, 2, 0, 0, 1, 0),
     (0, 0, 0, 0, 4, 20, 5, 0.9, 0.8, 0.9, 0), (0, 0, 1, 0, 4, 2, 3, 1, 0, 1, 0), (0, 0, 0, 1, 1, 30, 2, 1, 0.9, 1, 0),
@@ -203,6 +212,8 @@ def extract_text(df: DataFrame, page: str = "html", text: str = "text", n_chars:
     replaced.
     """
 
+    ship_package(df.sparkSession)
+
     @arrow_udf("string")
     def extracted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
