@@ -6,7 +6,11 @@ spark-submit jobs.py backfill FILES/orders_2025-08-14.csv FOLDER --day 2025-08-1
 spark-submit jobs.py sellers EARLIER.csv LATER.csv ORDERS.csv FOLDER
 spark-submit jobs.py baskets LINES.csv FOLDER
 
-``--query`` (SQL text or a .sql file) and ``--out`` export a result as CSV after a build.
+spark-submit jobs.py query FOLDER --query "select ..." --out RESULT
+spark-submit jobs.py check FOLDER
+
+``--query`` (SQL text or a .sql file) with ``--out`` exports a result as CSV, after a build or, as a job of its
+own, from the tables that earlier builds stored in a folder. ``check`` runs the column checks on those.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tallyline.plans import stories
+from tallyline.plans.checks import assert_checks, run_checks
 from tallyline.session import SETTINGS
 from tallyline.sources.csv_files import query_to_csv
 from tallyline.sources.tables import backfill_day
@@ -33,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
         "backfill": ["file", "folder"],
         "sellers": ["earlier", "later", "orders", "folder"],
         "baskets": ["lines", "folder"],
+        "query": ["folder"],
+        "check": ["folder"],
     }
     for job, names in arguments.items():
         kind = kinds.add_parser(job, parents=[common])
@@ -47,6 +54,14 @@ def parser() -> argparse.ArgumentParser:
     return jobs
 
 
+def parsed(arguments: list[str] | None = None) -> argparse.Namespace:
+    jobs = parser()
+    args = jobs.parse_args(arguments)
+    if bool(args.query) != bool(args.out) or (args.job == "query" and not args.query):
+        jobs.error("--query and --out go together")
+    return args
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "reconcile":
         stories.build_reconciliation(spark, args.ledger, args.settlement, args.cutoff, args.day, args.folder)
@@ -58,9 +73,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{args.day}: {loaded.rows_read} rows read, {loaded.rows_held} rows held")
     elif args.job == "sellers":
         stories.build_sellers(spark, args.earlier, args.later, args.orders, args.folder)
-    else:
+    elif args.job == "baskets":
         stories.build_baskets(spark, args.lines, args.folder)
+    elif args.job == "check":
+        tables = stories.register_stored(spark, args.folder)
+        run_checks(tables).show(1000, truncate=False)
+        assert_checks(tables)
     if args.query:
+        if args.job in ("query", "backfill"):
+            stories.register_stored(spark, args.folder)
         query_to_csv(spark, args.query, args.out)
 
 
@@ -68,4 +89,4 @@ if __name__ == "__main__":
     builder = SparkSession.builder.appName("tallyline")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    run(builder.getOrCreate(), parser().parse_args())
+    run(builder.getOrCreate(), parsed())

@@ -21,7 +21,7 @@ from tallyline.sources.csv_files import read_csv, write_csv
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-PAIR_SUPPORT = 0.003
+PAIR_SUPPORT = "0.0001"
 
 
 def query(function: Query) -> Query:
@@ -178,6 +178,24 @@ def dim_sellers_history(spark, sf):
     return seller_history([stg_sellers_prev(spark, sf), stg_sellers_curr(spark, sf)])
 
 
+def _sellers_next(spark, sf):
+    """A third export: every fifth seller moves to one city, every sixth corrects its name."""
+    number = F.substring("seller_id", 2, 18).cast("bigint") % 10
+    return (
+        stg_sellers_curr(spark, sf)
+        .withColumn("snapshot_date", F.lit(fx.NEXT_SNAPSHOT).cast("date"))
+        .withColumn("city", F.when(number == 5, "MOVED").otherwise(F.col("city")))
+        .withColumn("seller_name", F.when(number == 6, F.concat("seller_name", F.lit("z"))).otherwise(F.col("seller_name")))
+    )
+
+
+@query
+def dim_sellers_history_replayed(spark, sf):
+    """Three exports, then the first one again: it must change nothing."""
+    first = stg_sellers_prev(spark, sf)
+    return seller_history([first, stg_sellers_curr(spark, sf), _sellers_next(spark, sf), first])
+
+
 @query
 def fct_orders_asof(spark, sf):
     return sellers.orders_as_of(stg_seller_orders(spark, sf), dim_sellers_history(spark, sf))
@@ -204,7 +222,7 @@ def settlement_by_payment(spark, sf):
 @query
 def long_payment_utrs(spark, sf):
     """Transfers of payments with more than one of them, as rows."""
-    return rollups.long_payment_utrs(stg_settlement(spark, sf), list_limit=1)
+    return rollups.long_payment_utrs(stg_settlement(spark, sf), more_than=1)
 
 
 @query
@@ -414,6 +432,4 @@ def dim_date(spark, sf):
 
 @query
 def product_pairs(spark, sf):
-    """Pairs of product names; spelling in capitals is the same product."""
-    lines = stg_order_lines(spark, sf).withColumn("product", F.lower("product_name"))
-    return baskets.product_pairs(lines, "product", PAIR_SUPPORT)
+    return baskets.product_pairs(stg_order_lines(spark, sf), "sku", PAIR_SUPPORT)

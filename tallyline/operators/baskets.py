@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from decimal import Decimal
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from tallyline.session import scratch_folder, written
 
 # The member that stands for guest checkouts, which have no customer id.
 GUEST = "GUEST"
 
-# As many products may qualify for pairs: a task then adds up a matrix of 32 MB. Baskets longer
-# than SHORT are added in blocks of BLOCK.
-MAX_FREQUENT = 2000
-SHORT = 32
-BLOCK = 1000
+# Products of a basket that one task pairs with as many others.
+TILE = 512
 
 
 def _customer_key():
@@ -116,73 +111,38 @@ def basket_size_profile(lines: DataFrame) -> DataFrame:
     )
 
 
-def _count_together(batches: Iterator[pd.DataFrame], n_items: int) -> Iterator[pd.DataFrame]:
-    """Add up which items share a basket in one matrix per task.
-
-    Short baskets of equal length are added element by element, long ones as X'X over blocks,
-    X being the basket-by-item indicator matrix.
-    """
-    together = np.zeros((n_items, n_items), dtype=np.int64)
-    for batch in batches:
-        for length, baskets in batch["items"].groupby(batch["items"].map(len)):
-            if length <= SHORT:
-                rows = np.sort(np.stack(baskets.to_list()), axis=1)
-                left, right = np.triu_indices(length, 1)
-                np.add.at(together, (rows[:, left], rows[:, right]), 1)
-                continue
-            for start in range(0, len(baskets), BLOCK):
-                rows = np.stack(baskets.iloc[start : start + BLOCK].to_list())
-                x = np.zeros((len(rows), n_items), dtype=np.float32)
-                np.put_along_axis(x, rows, 1, axis=1)
-                together += (x.T @ x).astype(np.int64)
-    a, b = np.nonzero(np.triu(together, 1))
-    yield pd.DataFrame({"a": a, "b": b, "n": together[a, b]})
-
-
-def product_pairs(lines: DataFrame, item: str = "sku", min_support: float = 0.01) -> DataFrame:
+def product_pairs(lines: DataFrame, item: str = "sku", min_support: Decimal | float | str = "0.01") -> DataFrame:
     """Products bought together: baskets, support, confidence both ways and lift, exactly.
 
-    Lists every pair held by at least ``min_support`` of the baskets. Only products that reach
-    that support alone can be in one; there are at most (lines per basket / min_support) of
-    them. They pass through the driver, which refuses more than ``MAX_FREQUENT``: ask for a
-    higher support then. A basket is cut down to those products, so however many lines it has
-    it is one bounded row, and each task adds its baskets up in one matrix instead of emitting
-    their pairs.
+    Lists every pair held by at least ``min_support`` of the baskets, taken as an exact decimal.
+    Only products that reach that support alone can be in one. The distinct (order, product) rows
+    that remain are stored once and joined with themselves per basket; a basket of more than
+    ``TILE`` of them is cut into tiles of that many by as many, so that one huge basket is shared
+    out over tasks. Pairs are counted before they are shuffled.
     """
-    spark = lines.sparkSession
     bought = lines.select("order_id", F.col(item).alias("item")).distinct()
     baskets = lines.agg(F.count_distinct("order_id")).scalar()
-    frequent = (
-        bought.where(F.col("item").isNotNull())
-        .groupBy("item")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= F.ceil(F.lit(min_support) * baskets))
-        .limit(MAX_FREQUENT + 1)
-        .collect()
-    )
-    if len(frequent) > MAX_FREQUENT:
-        raise ValueError(f"more than {MAX_FREQUENT} products reach a support of {min_support}; raise it")
-    numbered = [(i, row["item"], row["n"]) for i, row in enumerate(sorted(frequent))]
-    schema = StructType(
-        [StructField("i", LongType()), StructField("item", lines.schema[item].dataType), StructField("n", LongType())]
-    )
-    items = spark.createDataFrame(numbered, schema)
+    least = F.lit(Decimal(str(min_support))) * baskets.cast("decimal(20,0)")
+    counted = bought.where(F.col("item").isNotNull()).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    folder = scratch_folder(lines.sparkSession, "pairs")
+    items = written(counted.where(F.col("n") >= least), f"{folder}/items")
+    kept = written(bought.join(items.select("item"), "item"), f"{folder}/bought")
+    sizes = kept.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    placed = kept.join(sizes, "order_id").withColumn("own", F.pmod(F.xxhash64("item"), F.col("tiles")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    first = placed.select("order_id", F.col("item").alias("item_a"), F.col("own").alias("row"), every.alias("column"))
+    second = placed.select("order_id", F.col("item").alias("item_b"), F.col("own").alias("column"), every.alias("row"))
     together = (
-        bought.join(F.broadcast(items), "item")
-        .groupBy("order_id")
-        .agg(F.collect_set("i").alias("items"))
-        .select("items")
-        .mapInPandas(partial(_count_together, n_items=len(numbered)), "a bigint, b bigint, n bigint")
-        .groupBy("a", "b")
-        .agg(F.sum("n").alias("baskets_both"))
-        .where(F.col("baskets_both") >= F.ceil(F.lit(min_support) * baskets))
+        first.join(second, ["order_id", "row", "column"])
+        .where(F.col("item_a") < F.col("item_b"))
+        .groupBy("item_a", "item_b")
+        .agg(F.count(F.lit(1)).alias("baskets_both"))
+        .where(F.col("baskets_both") >= least)
     )
-    first = items.select(F.col("i").alias("a"), F.col("item").alias("item_a"), F.col("n").alias("baskets_a"))
-    second = items.select(F.col("i").alias("b"), F.col("item").alias("item_b"), F.col("n").alias("baskets_b"))
     total, both = baskets.cast("double"), F.col("baskets_both").cast("double")
     return (
-        together.join(F.broadcast(first), "a")
-        .join(F.broadcast(second), "b")
+        together.join(items.select(F.col("item").alias("item_a"), F.col("n").alias("baskets_a")), "item_a")
+        .join(items.select(F.col("item").alias("item_b"), F.col("n").alias("baskets_b")), "item_b")
         .select(
             "item_a",
             "item_b",

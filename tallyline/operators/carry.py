@@ -13,35 +13,29 @@ from tallyline.functions.values import AFTER_CUTOFF, LATE_REFUND, PRIOR_DAY_CAPT
 CARRIED_CAUSES = [AFTER_CUTOFF, PRIOR_DAY_CAPTURE, LATE_REFUND]
 
 
+OPEN_ITEM = ["payment_id", "merchant_id", "opened_on", "cause", "difference_paise"]
+
+
 def open_items(differences: DataFrame, day: date | str) -> DataFrame:
     """The differences of ``day`` that the following days should reverse."""
-    return differences.where(F.col("cause").isin(CARRIED_CAUSES)).select(
-        date_literal(day).alias("business_day"),
-        "payment_id",
-        "merchant_id",
-        "cause",
-        "difference_paise",
-    )
+    return differences.where(F.col("cause").isin(CARRIED_CAUSES)).withColumn("opened_on", date_literal(day)).select(*OPEN_ITEM)
+
+
+def still_open(carried: DataFrame) -> DataFrame:
+    """What a day leaves for the next one to reverse, in the shape ``carry_forward`` takes."""
+    return carried.where((F.col("status") != "closed") & F.col("cause").isin(CARRIED_CAUSES)).select(*OPEN_ITEM)
 
 
 def carry_forward(opened: DataFrame, today: DataFrame, day: date | str) -> DataFrame:
     """What is left per payment after ``today``'s differences meet the open items.
 
     A capture the bank had not settled (+) and the next file's row for it (-) add up to zero.
-    One combining aggregate over both inputs; the day's new differences open new items.
+    One combining aggregate over both inputs; the day's new differences open new items. An item
+    keeps the day and cause it was opened with, however many days it is carried.
     """
-    before = opened.select(
-        "payment_id", "merchant_id", "business_day", "cause", "difference_paise", F.lit(True).alias("was_open")
-    )
-    now = today.select(
-        "payment_id",
-        "merchant_id",
-        date_literal(day).alias("business_day"),
-        "cause",
-        "difference_paise",
-        F.lit(False).alias("was_open"),
-    )
-    was_open, remaining = F.col("was_open"), F.col("remaining_paise")
+    before = opened.select(*OPEN_ITEM, F.lit(True).alias("was_open"))
+    now = today.withColumn("opened_on", date_literal(day)).select(*OPEN_ITEM, F.lit(False).alias("was_open"))
+    was_open, remaining = F.col("was_open"), F.col("difference_paise")
     status = (
         F.when(~F.col("carried"), "new")
         .when(remaining == 0, "closed")
@@ -53,18 +47,19 @@ def carry_forward(opened: DataFrame, today: DataFrame, day: date | str) -> DataF
         .groupBy("payment_id")
         .agg(
             F.min("merchant_id").alias("merchant_id"),
-            F.min("business_day").alias("opened_on"),
+            F.min("opened_on").alias("opened_on"),
             F.bool_or(was_open).alias("carried"),
             F.min(F.when(was_open, F.col("cause"))).alias("open_cause"),
             F.min(F.when(~was_open, F.col("cause"))).alias("today_cause"),
-            F.sum("difference_paise").alias("remaining_paise"),
+            F.sum("difference_paise").alias("difference_paise"),
         )
         .withColumn("status", status)
+        .withColumn("cause", F.coalesce("open_cause", "today_cause"))
         .drop("carried")
     )
 
 
 def carry_summary(carried: DataFrame) -> DataFrame:
     return carried.groupBy("status").agg(
-        F.count(F.lit(1)).alias("payments"), F.sum("remaining_paise").alias("remaining_paise")
+        F.count(F.lit(1)).alias("payments"), F.sum("difference_paise").alias("difference_paise")
     )

@@ -8,13 +8,25 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 
+def _once(side: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One row per key, or an error that names the repeated key."""
+    key = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    failure = F.raise_error(F.concat(F.lit("repeated key: "), key)).cast("bigint")
+    rows = F.count(F.lit(1))
+    # The error takes the place of a count, so that the plan cannot drop it unevaluated.
+    grouped = side.groupBy(*keys).agg(rows.alias("__rows"), *[F.any_value(v).alias(v) for v in values])
+    return grouped.where(F.when(F.col("__rows") > 1, failure).otherwise(F.col("__rows")) == 1).drop("__rows")
+
+
 def compare_results(
     before: DataFrame, after: DataFrame, keys: list[str], values: list[str]
 ) -> DataFrame:
     """Rows that were added, removed or changed, with a delta per numeric column.
 
-    ``keys`` must be unique on both sides. NULL keys meet each other.
+    NULL keys meet each other. A key that either side repeats stops the query when it runs: its
+    rows would meet each other in every combination.
     """
+    before, after = (_once(side, keys, values) for side in (before, after))
     old = before.select(*keys, *values, F.lit(True).alias("present")).alias("old")
     new = after.select(*keys, *values, F.lit(True).alias("present")).alias("new")
     same_key = reduce(

@@ -24,8 +24,9 @@ def _category(only_ours: Column, only_bank: Column, equal: Column) -> Column:
 def match_payments(ledger: DataFrame, settlement: DataFrame) -> DataFrame:
     """Full outer join of the per-payment rollups; each payment lands in one category.
 
-    Both keys are kept through the join because the category depends on which is NULL. Both
-    inputs leave their rollup partitioned by payment, so the join adds no shuffle.
+    Both keys are kept through the join because the category depends on which is NULL. Inputs
+    that come straight from their rollups are partitioned by payment and are not shuffled again;
+    stored ones are.
     """
     ours, bank = ledger.alias("ours"), settlement.alias("bank")
     net, gross = F.col("ours.net_paise"), F.col("bank.gross_paise")

@@ -21,7 +21,6 @@ def daily_orders(staged: DataFrame) -> DataFrame:
             F.count_distinct("order_id").alias("orders"),
             F.sum(earned).alias("delivered_revenue_paise"),
         )
-        .orderBy("order_date")
     )
 
 

@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.values import CAPTURE, REFUND
 
-# A payment with more transfers than this gets its list as rows, not as one text cell.
-# At most rows / LIST_LIMIT payments can exceed it, which bounds the broadcast below:
-# a trillion settlement rows allow at most a million such payments, about 30 MB. With a
-# lower limit the bound is gone and the planner chooses the join.
-LIST_LIMIT = 1_000_000
-
 
 def _when_captured(value: Column) -> Column:
     return F.when(F.col("entry_type") == CAPTURE, value)
@@ -48,62 +42,63 @@ def ledger_by_payment(ledger: DataFrame) -> DataFrame:
     )
 
 
-def _in_utr_order(value: str) -> Column:
-    return F.expr(f"listagg({value}, ',') within group (order by utr nulls last)")
-
+def _joined(value: str, order: str) -> Column:
+    return F.expr(f"listagg({value}, ',') within group (order by {order})")
 
-def long_payments(settlement: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """Payments with more than ``list_limit`` transfers; empty on healthy data.
 
-    Reads one column and shuffles only (payment, partial count).
-    """
+def long_payments(settlement: DataFrame, more_than: int) -> DataFrame:
+    """Payments with more than so many transfers; reads one column."""
     counts = settlement.groupBy("payment_id").agg(F.count(F.lit(1)).alias("utr_count"))
-    return counts.where(F.col("utr_count") > list_limit)
+    return counts.where(F.col("utr_count") > more_than)
 
 
-def long_payment_utrs(settlement: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """Every transfer of the payments whose lists are too long for a text cell, as rows."""
-    long = long_payments(settlement, list_limit).select(F.col("payment_id").alias("long_id"))
+def long_payment_utrs(settlement: DataFrame, more_than: int = 1) -> DataFrame:
+    """Every transfer of the payments with more than so many of them, as rows."""
+    long = long_payments(settlement, more_than).select(F.col("payment_id").alias("long_id"))
     return settlement.join(
         long, F.col("payment_id").eqNullSafe(F.col("long_id")), "left_semi"
     ).select("payment_id", "utr", "remarks", "gross_paise", "settled_on")
 
 
-def settlement_by_payment(settlement: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
+def settlement_by_payment(settlement: DataFrame) -> DataFrame:
     """One row per payment; gross is summed over its transfers so a double shows up.
 
-    ``utrs`` and ``remarks`` are texts ordered by transfer. A text cell lives in one task, so
-    the payments returned by :func:`long_payments` keep their figures here (with NULL lists)
-    and their transfers come whole from :func:`long_payment_utrs`.
+    ``utrs`` and ``remarks`` are the whole texts in the order of transfers. Rows are dealt by
+    ranges of payment and transfer, so that a payment with a third of all rows is sorted and
+    joined into text piece by piece, each range a piece in a task of its own; only the pieces
+    meet in the payment's cell. A cell beyond Spark's size for one fails the job.
     """
-    long = long_payments(settlement, list_limit).select(
-        F.col("payment_id").alias("long_id"), F.lit(True).alias("is_long")
-    )
-    if list_limit >= LIST_LIMIT:
-        long = F.broadcast(long)
-    rows = settlement.join(long, F.col("payment_id").eqNullSafe(F.col("long_id")), "left")
-    return rows.groupBy("payment_id").agg(
+    ranges = settlement.repartitionByRange("payment_id", F.asc_nulls_last("utr"))
+    pieces = ranges.withColumn("piece", F.spark_partition_id()).groupBy("payment_id", "piece").agg(
         F.min("merchant_id").alias("merchant_id"),
         F.count(F.lit(1)).alias("utr_count"),
-        _in_utr_order("if(is_long, null, utr)").alias("utrs"),
+        _joined("utr", "utr nulls last").alias("utrs"),
         F.sum("gross_paise").alias("gross_paise"),
         F.sum("net_paise").alias("net_paise"),
         F.min("captured_on").alias("captured_on"),
         F.min("settled_on").alias("settled_on"),
-        _in_utr_order("if(is_long, null, remarks)").alias("remarks"),
+        _joined("remarks", "utr nulls last").alias("remarks"),
+    )
+    return pieces.groupBy("payment_id").agg(
+        F.min("merchant_id").alias("merchant_id"),
+        F.sum("utr_count").alias("utr_count"),
+        _joined("utrs", "piece").alias("utrs"),
+        F.sum("gross_paise").alias("gross_paise"),
+        F.sum("net_paise").alias("net_paise"),
+        F.min("captured_on").alias("captured_on"),
+        F.min("settled_on").alias("settled_on"),
+        _joined("remarks", "piece").alias("remarks"),
     )
 
 
-def lists_of_few(payments: DataFrame, settlement: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """Add ``utrs`` and ``remarks`` to a handful of payments that carry their ``utr_count``.
+def lists_of_few(payments: DataFrame, settlement: DataFrame) -> DataFrame:
+    """Add ``utrs`` and ``remarks`` to a handful of payments.
 
-    Only for a selection whose size is bounded by its caller: it is broadcast, so the
-    settlement rows are filtered before anything is shuffled.
+    Only for a selection whose size is bounded by its caller: its ids are broadcast, so the
+    settlement rows are filtered before anything is shuffled. The lists are as long as they are;
+    the planner joins them.
     """
-    listed = payments.where(F.col("utr_count") <= list_limit).select(F.col("payment_id").alias("wanted"))
-    lists = (
-        settlement.join(F.broadcast(listed), F.col("payment_id") == F.col("wanted"), "left_semi")
-        .groupBy("payment_id")
-        .agg(_in_utr_order("utr").alias("utrs"), _in_utr_order("remarks").alias("remarks"))
-    )
-    return payments.join(F.broadcast(lists), "payment_id", "left")
+    wanted = payments.select(F.col("payment_id").alias("wanted"))
+    rows = settlement.join(F.broadcast(wanted), F.col("payment_id") == F.col("wanted"), "left_semi")
+    lists = settlement_by_payment(rows).select("payment_id", "utrs", "remarks")
+    return payments.join(lists, "payment_id", "left")

@@ -59,21 +59,24 @@ def open_history(snapshot: DataFrame) -> DataFrame:
         date_literal(BEGINNING).alias("valid_from"),
         date_literal(END_OF_TIME).alias("valid_to"),
         F.lit(True).alias("is_current"),
+        F.col("snapshot_date").alias("last_snapshot"),
     )
 
 
 def apply_snapshot(
     history: DataFrame, snapshot: DataFrame, history_columns: tuple[str, ...] = HISTORY_COLUMNS
 ) -> DataFrame:
-    """Fold a newer snapshot into the dimension with one full outer join.
+    """Fold a snapshot into the dimension with one full outer join.
 
-    Sellers missing from the snapshot keep their version. Applying a snapshot twice changes
-    nothing, since the second time no history column differs.
+    Sellers missing from the snapshot keep their version. ``last_snapshot`` is the newest
+    snapshot that named the seller: an older one, late or applied again, changes nothing for it,
+    and neither does the same one a second time.
     """
     overwritten = [name for name in ATTRIBUTES if name not in history_columns]
     old, new = history.alias("old"), snapshot.alias("new")
     in_old = F.col("old.seller_id").isNotNull()
-    in_new = F.col("new.seller_id").isNotNull()
+    not_older = F.col("new.snapshot_date") >= F.col("old.last_snapshot")
+    in_new = F.col("new.seller_id").isNotNull() & F.coalesce(not_older, F.lit(True))
     moved = F.lit(False)
     for name in history_columns:
         moved = moved | ~F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
@@ -92,6 +95,7 @@ def apply_snapshot(
             start.alias("valid_from"),
             end.alias("valid_to"),
             current.alias("is_current"),
+            F.greatest("old.last_snapshot", "new.snapshot_date").alias("last_snapshot"),
         )
 
     fresh = {name: F.col(f"new.{name}") for name in ATTRIBUTES}

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from tallyline.functions.times import date_literal
 from tallyline.operators import quality
+from tallyline.operators.carry import carry_forward, still_open
 from tallyline.operators.matching import classify_differences, match_figures, match_payments
 from tallyline.operators.reports import category_summary, reconciliation_report, unmatched_sample
 from tallyline.operators.rollups import ledger_by_payment, lists_of_few, settlement_by_payment
 from tallyline.plans.checks import assert_checks
+from tallyline.session import scratch_folder, written
 from tallyline.sources.partitions import replace_partition
 
 
@@ -29,14 +32,27 @@ def report_day(ledger: DataFrame, settlement: DataFrame, cutoff: datetime | str,
 def sample_day(ledger: DataFrame, settlement: DataFrame, per_category: int = 10) -> DataFrame:
     """The first unmatched payments of each category, with their transfer lists.
 
-    The lists are gathered for the sampled payments only. The sample, ``per_category`` rows for
-    each of three categories, passes through the driver so that the match runs once.
+    The lists are gathered for the sampled payments only: ``per_category`` rows for each of three
+    categories, stored first so that the match runs once.
     """
     sample = unmatched_sample(match_figures(ledger, settlement), per_category)
-    few = sample.sparkSession.createDataFrame(sample.collect(), sample.schema)
+    few = written(sample, scratch_folder(sample.sparkSession, "sample"))
     return lists_of_few(few, settlement).orderBy("category", "rn")
 
 
+def _left_open(spark: SparkSession, folder: str, day: date | str) -> DataFrame:
+    """The items that the last stored business day before ``day`` left open; none on the first day."""
+    try:
+        table = spark.read.parquet(f"{folder}/open_items").where(F.col("business_day") < date_literal(day))
+    except AnalysisException:  # nothing is stored yet
+        return spark.createDataFrame([], OPEN_ITEM_TYPE)
+    last = table.agg(F.max("business_day")).scalar()
+    return still_open(table.where(F.col("business_day") == last))
+
+
+OPEN_ITEM_TYPE = "payment_id string, merchant_id string, opened_on date, cause string, difference_paise bigint"
+
+
 def reconcile_day(
     ledger: DataFrame, settlement: DataFrame, cutoff: datetime | str, day: date | str, folder: str
 ) -> dict[str, DataFrame]:
@@ -65,6 +81,7 @@ def reconcile_day(
     differences = stored(classify_differences(matched, cutoff, day), "differences")
     summary = stored(category_summary(matched), "category_summary")
     tables |= {"matched": matched, "differences": differences, "category_summary": summary}
+    tables["open_items"] = stored(carry_forward(_left_open(ledger.sparkSession, folder, day), differences, day), "open_items")
     tables["reconciliation_report"] = stored(reconciliation_report(differences), "reconciliation_report")
 
     assert_checks({name: tables[name] for name in ("ledger_by_payment", "settlement_by_payment", "matched", "differences")})

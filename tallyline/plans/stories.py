@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyline import schemas
-from tallyline.operators import baskets, sellers, staging
+from tallyline.operators import baskets, reports, sellers, staging
 from tallyline.plans.checks import assert_checks
 from tallyline.plans.reconcile import reconcile_day
 from tallyline.plans.sellers import seller_history
@@ -25,6 +26,53 @@ def register_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return tables
 
 
+# The tables that the stories store, and the views of analyses over them.
+STORED = [
+    "ledger_by_payment", "settlement_by_payment", "matched", "differences", "category_summary", "reconciliation_report", "open_items",
+    "orders", "daily_orders", "dim_sellers_current", "dim_sellers_history", "fct_orders_current", "fct_orders_asof", "seller_changes",
+    "fct_order_lines", "fct_baskets", "dim_product", "dim_customer", "dim_date",
+]
+RAW = {
+    "ledger": ("stg_ledger", schemas.LEDGER, staging.stage_ledger),
+    "settlement": ("stg_settlement", schemas.SETTLEMENT, staging.stage_settlement),
+    "order_lines": ("stg_order_lines", schemas.ORDER_LINES, staging.stage_order_lines),
+    "sellers_prev": ("stg_sellers_prev", schemas.SELLERS, staging.stage_sellers),
+    "sellers_curr": ("stg_sellers_curr", schemas.SELLERS, staging.stage_sellers),
+    "seller_orders": ("stg_seller_orders", schemas.SELLER_ORDERS, staging.stage_seller_orders),
+}
+
+
+def register_stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables that earlier builds left in ``folder``, as views; those of the reconciliation hold
+    all business days. Where both sides' staged rows or the match are there, so are the analyses."""
+
+    def table(path: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:  # not stored here
+            return None
+
+    tables = {name: found for name in STORED if (found := table(f"{folder}/{name}")) is not None}
+    if "orders" in tables:
+        tables["stg_daily_orders"] = staging.stage_daily_orders(load.orders_table(spark, f"{folder}/orders"))
+        del tables["orders"]
+    if "daily_orders" in tables:
+        tables["daily_orders"] = load.daily_fact(spark, f"{folder}/daily_orders")
+    for name, (staged, schema, stage) in RAW.items():
+        if (table(f"{folder}/raw/{name}")) is not None:
+            tables[staged] = stage(spark.read.schema(schema).parquet(f"{folder}/raw/{name}"))
+        elif (table(f"{folder}/*/raw/{name}")) is not None:  # one folder per business day
+            tables[staged] = stage(spark.read.schema(schema).parquet(f"{folder}/*/raw/{name}"))
+    if "stg_ledger" in tables and "stg_settlement" in tables:
+        sides = tables["stg_ledger"], tables["stg_settlement"]
+        tables |= {"totals": reports.totals(*sides), "key_uniqueness": reports.key_uniqueness(*sides), "key_duplicates": reports.key_duplicates(*sides)}
+    if "matched" in tables:
+        tables["unmatched_sample"] = reports.unmatched_sample(tables["matched"])
+    if "differences" in tables:
+        tables["difference_report"] = reports.difference_report(tables["differences"])
+    return register_views(tables)
+
+
 def _loaded(spark: SparkSession, files: dict, folder: str) -> dict[str, DataFrame]:
     load.load_whole(spark, files, f"{folder}/raw")
     return {n: spark.read.schema(s).parquet(f"{folder}/raw/{n}") for n, (_, s) in files.items()}

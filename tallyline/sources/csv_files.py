@@ -24,6 +24,10 @@ WRITE_OPTIONS = {
 }
 
 
+#: With it a quoted field may hold line breaks, and a file is read by one task as a whole.
+LINE_BREAKS = {"multiLine": "true"}
+
+
 def header_of(spark: SparkSession, path: str, **options: str) -> list[str]:
     """The column names of a file; reads its first line only."""
     return spark.read.options(**READ_OPTIONS, **options).csv(path).columns
@@ -44,8 +48,14 @@ def typed_reader(spark: SparkSession, path: str, schema: StructType, **options:
     return spark.read.schema(in_file_order).options(**READ_OPTIONS, **options)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
-    """The declared columns, taken by name."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = False, **options: str) -> DataFrame:
+    """The declared columns, taken by name.
+
+    ``line_breaks`` reads quoted fields over several lines, as ``write_csv`` writes them; a file
+    is then not split. Without it a field that goes over a line's end does not fit its types or
+    its number of columns, and a file of one text column must not hold any.
+    """
+    options = {**(LINE_BREAKS if line_breaks else {}), **options}
     return typed_reader(spark, path, schema, **options).csv(path).select(*schema.names)
 
 

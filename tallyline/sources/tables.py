@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -12,7 +13,7 @@ from tallyline.functions.times import date_literal
 from tallyline.operators.orders import daily_orders
 from tallyline.operators.quality import assert_empty, null_counts
 from tallyline.schemas import DAILY_ORDERS
-from tallyline.sources.csv_files import read_csv, typed_reader
+from tallyline.sources.csv_files import header_of, read_csv, typed_reader
 from tallyline.sources.partitions import counted, empty_partition, replace_partition, replace_partitions
 
 BATCHED_ORDERS = StructType([*DAILY_ORDERS.fields, StructField("batch_day", DateType())])
@@ -40,9 +41,10 @@ def load_whole(spark: SparkSession, files: dict[str, tuple[str, StructType]], fo
     """Rebuild one table per file; returns the rows of each.
 
     Every file's header is read before the first table is touched, so a missing file stops the
-    load with all tables as they were.
+    load with all tables as they were. Quoted line breaks are read, which keeps a file in one
+    task: deliver a large table as a folder of files.
     """
-    frames = {name: read_csv(spark, path, schema) for name, (path, schema) in files.items()}
+    frames = {name: read_csv(spark, path, schema, line_breaks=True) for name, (path, schema) in files.items()}
     loaded = {}
     for name, frame in frames.items():
         rows, counter = counted(frame)
@@ -101,14 +103,29 @@ def append_day(spark: SparkSession, path: str, day: date | str, table: str) -> L
 
 
 def read_days(spark: SparkSession, paths: str, day_in_path: str = DAY_IN_PATH) -> DataFrame:
-    """All daily files in one scan, each row stamped with the day named in its file's path.
+    """All daily files, each row stamped with the day named in its file's path.
 
-    A path without a day fails the cast; a file whose header differs from the first one's
-    fails the read.
+    Columns are taken by name, file by file: there is one scan for each order of columns that
+    occurs. A path without a day fails the cast, a file that lacks a column the read.
     """
-    files = typed_reader(spark, paths, DAILY_ORDERS, recursiveFileLookup="true").csv(paths)
-    day = F.regexp_extract(F.col("_metadata.file_path"), day_in_path, 1).cast("date")
-    return files.select(*DAILY_ORDERS.names, day.alias("batch_day"))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in _file_paths(spark, paths):
+        by_header.setdefault(tuple(header_of(spark, path)), []).append(path)
+    day = F.regexp_extract(F.col("_metadata.file_path"), day_in_path, 1).cast("date").alias("batch_day")
+    scans = [
+        typed_reader(spark, some[0], DAILY_ORDERS).csv(some).select(*DAILY_ORDERS.names, day)
+        for some in by_header.values()
+    ]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _file_paths(spark: SparkSession, paths: str) -> list[str]:
+    """The files below a folder or pattern, bounded by the calendar; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    found = sorted(row["path"] for row in files.select("path").collect())
+    if not found:
+        raise FileNotFoundError(f"no files at {paths}")
+    return found
 
 
 def load_all_days(spark: SparkSession, paths: str, table: str, day_in_path: str = DAY_IN_PATH) -> Loaded:

@@ -53,6 +53,14 @@ def test_history_over_three_snapshots_and_null_attributes(spark):
     }
 
 
+def test_an_older_snapshot_again_or_late_changes_nothing(spark):
+    june = snapshot(spark, "2025-06-01", ("S1", "Old name", "Grocery", "Pune"))
+    sept = snapshot(spark, "2025-09-01", ("S1", "New name", "Fashion", "Pune"))
+    both = seller_history([june, sept])
+    assert versions(seller_history([june, sept, june])) == versions(both) == versions(seller_history([june, sept, sept]))
+    assert rows(both.where("is_current"), "seller_name", "category") == {("New name", "Fashion")}
+
+
 def test_what_counts_as_history_is_an_argument(spark):
     june = snapshot(spark, "2025-06-01", ("s", "A", "Kids", "Pune"))
     sept = snapshot(spark, "2025-09-01", ("s", "B", "Home", "Pune"))
@@ -184,16 +192,18 @@ def test_pairs_with_one_basket_holding_most_lines(spark):
     assert rows(found, "item_a", "item_b", "baskets_both", "support") == {("S1", "S2", 10, 1.0)}
 
 
-def test_pairs_refuse_a_support_that_lets_too_many_products_in(spark):
-    wide = [("big", i, "C", f"S{i}", "x", 1, 1, 0) for i in range(baskets.MAX_FREQUENT + 1)]
-    with pytest.raises(ValueError, match="raise it"):
-        baskets.product_pairs(lines(spark, *wide), "sku", 0.5)
+def test_pairs_exactly_at_the_support(spark):
+    together = [(f"o{i}", j, "C", f"S{j}", "x", 1, 1, 0) for i in range(7) for j in (1, 2)]
+    others = [(f"p{i}", 1, "C", "S3", "x", 1, 1, 0) for i in range(93)]
+    found = baskets.product_pairs(lines(spark, *together, *others), "sku", 0.07)
+    assert rows(found, "item_a", "item_b", "baskets_both") == {("S1", "S2", 7)}
+    assert baskets.product_pairs(lines(spark, *together, *others), "sku", "0.0701").count() == 0
 
 
-def test_pairs_with_a_basket_of_every_qualifying_product(spark, monkeypatch):
-    monkeypatch.setattr(baskets, "MAX_FREQUENT", 300)
-    wide = [("big", i, "C", f"S{i}", "x", 1, 1, 0) for i in range(baskets.MAX_FREQUENT)]
-    single = [(f"o{i}-{n}", 1, "C", f"S{i}", "x", 1, 1, 0) for i in range(baskets.MAX_FREQUENT) for n in range(2)]
-    pairs = [(f"p{n}", i, "C", f"S{i}", "x", 1, 1, 0) for n in range(2) for i in (7, 9)]
-    found = baskets.product_pairs(lines(spark, *wide, *single, *pairs), "sku", 3 / (4 * baskets.MAX_FREQUENT))
-    assert rows(found, "item_a", "item_b", "baskets_both") == {("S7", "S9", 3)}
+def test_pairs_of_a_basket_of_every_product_of_a_large_catalogue(spark):
+    many = 2300
+    wide = [(f"big{n}", i, "C", f"S{i}", "x", 1, 1, 0) for n in range(2) for i in range(many)]
+    few = [("small", i, "C", f"S{i}", "x", 1, 1, 0) for i in (7, 9)]
+    staged = lines(spark, *wide, *few)
+    assert baskets.product_pairs(staged, "sku", "0.5").count() == many * (many - 1) // 2
+    assert rows(baskets.product_pairs(staged, "sku", 1), "item_a", "item_b", "baskets_both") == {("S7", "S9", 3)}

@@ -14,18 +14,26 @@ from tallyline.sources.partitions import replace_partitions
 from tallyline.sources.tables import orders_table
 
 SMALL = "/root/testdata/sf0.001"
-ACTING = {"load_whole", "load_all_days", "load_day_append", "backfill_day", "export_csv", "check_all", "unmatched_sample"}
+ACTING = {"load_whole", "load_all_days", "load_day_append", "backfill_day", "export_csv", "check_all", "unmatched_sample", "product_pairs"}
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - ACTING))
+NAMES = sorted(set(QUERIES) - ACTING)
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_no_cross_join_and_no_python_rows(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|EvalPython", text)
-    assert ("MapInPandas" in text) == (name == "product_pairs")
+    assert "MapInPandas" not in text
+
+
+def test_transfer_lists_read_the_settlement_once(spark):
+    text = plan(QUERIES["settlement_by_payment"](spark, SMALL))
+    assert text.count("FileScan") == 1 and "rangepartitioning(payment_id" in text
 
 
 def test_report_reads_each_side_once_and_joins_nothing(spark):
@@ -39,7 +47,7 @@ def test_totals_do_not_shuffle_by_payment(spark):
     assert "hashpartitioning" not in plan(QUERIES["recon_totals"](spark, SMALL))
 
 
-def test_match_of_rollups_adds_no_shuffle(spark):
+def test_match_of_unstored_rollups_adds_no_shuffle(spark):
     ledger = QUERIES["stg_ledger"](spark, SMALL)
     rolled = ledger_by_payment(ledger)
     other = rolled.selectExpr(

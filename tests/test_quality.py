@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from conftest import rows
 
+from tallyline.functions import values as v
 from tallyline.operators import carry, compare, quality
 from tallyline.operators.matching import classify_differences, match_figures
 from tallyline.plans import checks
@@ -84,8 +87,33 @@ def test_open_items_close_when_the_next_file_brings_them(ledger, settlement):
         ledger(), settlement(("U1", "late", 100, DAY, None), ("U2", "fresh", 7, DAY, None)), "2025-09-16 18:00:00", "2025-09-16"
     )
     carried = carry.carry_forward(opened, second, "2025-09-16")
-    assert rows(carried, "payment_id", "status", "remaining_paise") == {
+    assert rows(carried, "payment_id", "status", "difference_paise") == {
         ("late", "closed", 0),
         ("stuck", "still_open", 40),
         ("fresh", "new", -7),
     }
+
+
+def test_open_items_over_three_days(spark):
+    kind = "payment_id string, merchant_id string, cause string, difference_paise bigint"
+
+    def day(*entries):
+        return spark.createDataFrame([(p, "M", cause, paise) for p, cause, paise in entries], kind)
+
+    first = carry.open_items(day(("a", v.AFTER_CUTOFF, 10), ("b", v.AFTER_CUTOFF, 20), ("c", v.ROUNDING, 1)), "2025-09-15")
+    second = carry.carry_forward(first, day(("a", v.PRIOR_DAY_CAPTURE, -10), ("d", v.AFTER_CUTOFF, 5)), "2025-09-16")
+    third = carry.carry_forward(
+        carry.still_open(second), day(("b", v.PRIOR_DAY_CAPTURE, -15), ("d", v.PRIOR_DAY_CAPTURE, -5)), "2025-09-17"
+    )
+    assert rows(second, "payment_id", "status", "difference_paise") == {("a", "closed", 0), ("b", "still_open", 20), ("d", "new", 5)}
+    assert rows(third, "payment_id", "opened_on", "cause", "status", "difference_paise") == {
+        ("b", date(2025, 9, 15), v.AFTER_CUTOFF, "changed", 5),
+        ("d", date(2025, 9, 16), v.AFTER_CUTOFF, "closed", 0),
+    }
+    assert carry.still_open(third).columns == first.columns
+
+
+def test_comparison_names_a_repeated_key(spark):
+    df = spark.createDataFrame([("k", 1), ("k", 2)], "key string, n int")
+    with pytest.raises(Exception, match="repeated key: k"):
+        compare.compare_results(df, df, ["key"], ["n"]).collect()

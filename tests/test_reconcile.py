@@ -42,20 +42,20 @@ def test_settlement_lists_are_ordered_by_utr_and_skip_nulls(settlement):
     }
 
 
-def test_a_list_too_long_for_a_cell_comes_whole_as_rows(settlement):
+def test_a_payment_with_a_third_of_all_rows_has_its_whole_list_in_order(settlement):
+    number = [f"U{i * 7919 % 3000:05}" for i in range(3000)]
     df = settlement(
-        *((f"U{i}", "hot", 1, DAY, None) for i in range(50)),
-        *((f"N{i}", None, 1, DAY, None) for i in range(40)),
-        ("X", "p", 7, DAY, None),
-    )
-    rolled = rollups.settlement_by_payment(df, list_limit=20)
-    assert rows(rolled, "payment_id", "utr_count", "utrs", "gross_paise") == {
-        ("hot", 50, None, 50),
-        (None, 40, None, 40),
-        ("p", 1, "X", 7),
-    }
-    as_rows = rollups.long_payment_utrs(df, list_limit=20)
-    assert rows(as_rows, "payment_id", "utr") == {("hot", f"U{i}") for i in range(50)} | {(None, f"N{i}") for i in range(40)}
+        *((u, "hot", 1, DAY, f"r{u}" if i % 3 else None) for i, u in enumerate(number)),
+        *((f"N{i:03}", None, 1, DAY, None) for i in range(40)),
+        *((f"X{i}", f"p{i % 2500}", 7, DAY, None) for i in range(5000)),
+    ).repartition(5)
+    found = {r.payment_id: r for r in rollups.settlement_by_payment(df).collect()}
+    assert len(found) == 2502 and found["hot"].utr_count == found["hot"].gross_paise == 3000
+    assert found["hot"].utrs == ",".join(sorted(number))
+    assert found["hot"].remarks == ",".join(sorted(f"r{u}" for i, u in enumerate(number) if i % 3))
+    assert found[None].utrs == ",".join(f"N{i:03}" for i in range(40)) and found["p7"].utrs == "X2507,X7"
+    as_rows = rollups.long_payment_utrs(df, more_than=20)
+    assert as_rows.count() == 3040 and rows(as_rows.select("payment_id").distinct()) == {("hot",), (None,)}
 
 
 def test_cutoff_second_itself_is_after_the_cutoff(ledger, settlement):
@@ -215,3 +215,14 @@ def test_stored_day_stops_on_a_failed_check(ledger, settlement, tmp_path):
         reconcile.reconcile_day(ledger(), unexplained, CUTOFF, DAY, str(tmp_path))
     with pytest.raises(quality.CheckFailed, match="payment_id"):
         reconcile.reconcile_day(ledger((None, "capture", 1, "09:00:00")), settlement(), CUTOFF, DAY, str(tmp_path))
+
+
+def test_stored_days_carry_their_open_items(ledger, settlement, tmp_path):
+    folder = str(tmp_path)
+    first = reconcile.reconcile_day(ledger(("p", "capture", 10, "19:00:00")), settlement(), CUTOFF, DAY, folder)
+    assert rows(first["open_items"], "payment_id", "status") == {("p", "new")}
+    bank = settlement(("U1", "p", 10, "2025-09-15", None))
+    again = reconcile.reconcile_day(ledger(), bank, "2025-09-16 18:00:00", "2025-09-16", folder)
+    assert rows(again["open_items"], "payment_id", "status", "difference_paise") == {("p", "closed", 0)}
+    third = reconcile.reconcile_day(ledger(), settlement(), "2025-09-17 18:00:00", "2025-09-17", folder)
+    assert third["open_items"].count() == 0

@@ -202,3 +202,39 @@ def test_stream_gives_the_batch_result_and_skips_seen_files(spark, month, tmp_pa
     deliver(files, "2025-08-03", line("d", "2025-08-03"))
     stream_daily_files(spark, str(files), streamed, checkpoint, streamed_fact).awaitTermination()
     assert rows(tables.daily_fact(spark, streamed_fact)) == GOOD_FACT | {(date(2025, 8, 3), 1, 1, 100)}
+
+
+def test_line_breaks_survive_a_round_trip(spark, tmp_path):
+    texts = spark.createDataFrame([("a\nb", "x"), ("c", 'say "no"\r\nor not')], "one string, two string")
+    write_csv(texts, str(tmp_path / "two"))
+    assert rows(read_csv(spark, str(tmp_path / "two"), texts.schema, line_breaks=True)) == rows(texts)
+    write_csv(texts.select("one"), str(tmp_path / "one"))
+    assert rows(read_csv(spark, str(tmp_path / "one"), texts.select("one").schema, line_breaks=True)) == rows(texts, "one")
+
+
+def test_a_month_whose_files_order_their_columns_differently(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    deliver(files, "2025-08-01", line("a", "2025-08-01"))
+    names, values = HEADER.split(","), line("b", "2025-08-02").split(",")
+    swapped = [1, 0, *range(2, len(names))]
+    deliver(files, "2025-08-02", ",".join(values[i] for i in swapped), header=",".join(names[i] for i in swapped))
+    month, days = str(tmp_path / "month"), str(tmp_path / "days")
+    tables.load_all_days(spark, str(files), month)
+    for day in ("2025-08-01", "2025-08-02"):
+        tables.append_day(spark, f"{files}/orders_{day}.csv", day, days)
+    assert rows(tables.orders_table(spark, month)) == rows(tables.orders_table(spark, days))
+    assert rows(tables.orders_table(spark, month), "order_id", "customer_id") == {("a", "U1"), ("b", "U1")}
+
+
+def test_stream_notes_files_it_cannot_load_and_goes_on(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    deliver(files, "2025-08-01", line("a", "2025-08-01"))
+    deliver(files, "x", line("b", "2025-08-01"))
+    deliver(files, "2025-08-03")
+    arguments = str(files), str(tmp_path / "orders"), str(tmp_path / "checkpoint")
+    stream_daily_files(spark, *arguments, rejects=str(tmp_path / "rejects")).awaitTermination()
+    assert rows(tables.orders_table(spark, arguments[1]), "order_id") == {("a",)}
+    reasons = {r.path.split("/")[-1]: r.reason for r in spark.read.parquet(str(tmp_path / "rejects")).collect()}
+    assert "no day" in reasons["orders_x.csv"] and "no rows" in reasons["orders_2025-08-03.csv"] and len(reasons) == 2

@@ -21,7 +21,7 @@ def same(spark, table, query):
 
 
 def run(spark, *arguments):
-    jobs.run(spark, jobs.parser().parse_args([str(a) for a in arguments]))
+    jobs.run(spark, jobs.parsed([str(a) for a in arguments]))
 
 
 def test_reconciliation(spark, tmp_path):
@@ -37,6 +37,15 @@ def test_reconciliation(spark, tmp_path):
     (part,) = glob.glob(f"{tmp_path}/csv/part-*.csv")
     assert open(part).read() == "category,payments\nmatched,1299\n"
 
+    for view in ("matched", "totals", "difference_report"):
+        spark.catalog.dropTempView(view)
+    query = "select count(*) as n from matched join totals where category = 'matched'"
+    run(spark, "query", f"{tmp_path}/out", "--query", query, "--out", f"{tmp_path}/later")
+    (part,) = glob.glob(f"{tmp_path}/later/part-*.csv")
+    assert open(part).read() == "n\n1299\n"
+    assert spark.table("difference_report").count() == spark.table("differences").count()
+    run(spark, "check", f"{tmp_path}/out")
+
 
 def test_sellers(spark, tmp_path):
     for name in ("PREV", "CURR"):
@@ -61,7 +70,11 @@ def test_orders_and_backfill(spark, tmp_path, capsys):
         write_csv(raw.where(raw.batch_day == day).drop("batch_day"), f"{tmp_path}/files/orders_{day}.csv")
     run(spark, "orders", f"{tmp_path}/files", f"{tmp_path}/out")
     before = rows(spark.table("daily_orders"))
-    run(spark, "backfill", f"{tmp_path}/files/orders_{days[0]}.csv", f"{tmp_path}/out", "--day", days[0])
+    spark.catalog.dropTempView("daily_orders")
+    run(
+        spark, "backfill", f"{tmp_path}/files/orders_{days[0]}.csv", f"{tmp_path}/out", "--day", days[0],
+        "--query", "select sum(order_rows) as n from daily_orders", "--out", f"{tmp_path}/csv",
+    )
     held = raw.where(raw.batch_day == days[0]).count()
     assert f"{held} rows read, {held} rows held" in capsys.readouterr().out
     spark.catalog.refreshTable("daily_orders")
@@ -69,5 +82,6 @@ def test_orders_and_backfill(spark, tmp_path, capsys):
 
 
 def test_arguments_are_checked():
-    with pytest.raises(SystemExit):
-        jobs.parser().parse_args(["backfill", "file", "folder"])
+    for wrong in (["backfill", "file", "folder"], ["query", "folder"], ["baskets", "lines", "folder", "--query", "select 1"]):
+        with pytest.raises(SystemExit):
+            jobs.parsed(wrong)
