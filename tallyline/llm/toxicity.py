@@ -149,7 +149,7 @@ class Model:
         grams = []
         for d in distinct:
             grams.append(np.unique(read.grams[read.gram_cells(d)[0]]))
-        fold = np.arange(len(texts)) % FOLDS
+        fold = np.where(self.labels == 1, np.cumsum(self.labels), np.cumsum(1 - self.labels)) % FOLDS  # each label in all folds
         self.words, self.grams = Odds.counted(words, self.labels), Odds.counted(grams, self.labels)
         fixed = []
         for f in range(FOLDS):
@@ -159,8 +159,9 @@ class Model:
         random = np.random.default_rng(11)
         weights = initial(FIXED + 2 * LEARNED, HIDDEN, ATTENTION)
         weights |= {k: np.zeros((BUCKETS, LEARNED), np.float32) for k in ("words", "grams")}
-        self.weights, adam = weights, Adam(weights, RATE, {"words": SLOW_RATE, "grams": SLOW_RATE})
         share = self.labels.mean()
+        weights["oc"][:] = np.log(share / (1 - share))  # what a window without words starts from
+        self.weights, adam = weights, Adam(weights, RATE, {"words": SLOW_RATE, "grams": SLOW_RATE})
         weight = np.where(self.labels == 1, np.sqrt((1 - share) / share), 1.0)
         while adam.steps < STEPS:
             worst, spare = self._windows_to_learn(read, fixed, fold, random)
