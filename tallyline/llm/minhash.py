@@ -5,9 +5,11 @@
 2. Bands of the signature give buckets. Nodes that share a bucket are candidates, but a bucket's pairs
    are never all emitted: in each round every member is compared with one leader of its bucket,
    unless both are known to belong together already. Components found so far are drawn together after
-   each round, so that a large group of near copies costs its size, not its square. What is left
-   after ``ROUNDS`` rounds are buckets of texts that differ; their pairs from different components
-   are compared exhaustively, in large buckets only those that share a second band too.
+   each round, so that a large group of near copies costs about its size, not its square. What is
+   left after ``ROUNDS`` rounds are pairs from different components. In buckets of up to
+   ``LARGE_BUCKET`` members they are compared one by one. Large buckets are drawn together into
+   clusters, in which every member outside of the largest component meets all others, in tiles of
+   blocks of both; a tile gives one link for each two components that it finds linked.
 3. A pair's signatures are compared batch by batch. After each batch the pair is given up if the
    posterior probability that its similarity reaches the threshold is below ``MISS``.
 4. Survivors are verified exactly on their full sets.
@@ -27,16 +29,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from tallyline.llm.common import in_chunks, row_key, stored, whole_text
+from tallyline.llm.common import in_chunks, row_key, ship_package, stored, whole_text
 from tallyline.llm.graphs import components
 from tallyline.llm.words import byte_class, mixed, shingle_hashes, word_hashes
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 BATCH = 32
-MISS = 1e-6
+MISS = 1e-5
 ROUNDS = 2
-LARGE_BUCKET = 64
+LARGE_BUCKET = 32
+TILE_ROWS = 256
+TILE_COLUMNS = 4096  # shingles counted at once
 WORD_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 _random = np.random.default_rng(7)
@@ -94,7 +98,7 @@ def _described(size: int, with_sets: bool):
     def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             counts, nodes, signatures, sets = [], [], [], []
-            for texts in in_chunks(batch):
+            for texts in in_chunks(batch, 1 << 18):
                 own = TextSets(texts, size)
                 counts.append(own.counts)
                 nodes.append(own.nodes())
@@ -140,6 +144,57 @@ def _hopeful(threshold: float):
     return hopeful
 
 
+class Tile:
+    """Some members of a cluster, as the rows or the columns of a tile."""
+
+    def __init__(self, table: pa.Table):
+        self.label = table["label"].to_numpy()
+        self.count = table["n_shingles"].to_numpy()
+        self.signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(-1, HASHES)
+        self.hashes = [np.frombuffer(x, "<u8") for x in table["hashes"].to_pylist()]
+
+    def some(self, rows: np.ndarray) -> Tile:
+        out = object.__new__(Tile)
+        out.label, out.count, out.signatures = self.label[rows], self.count[rows], self.signatures[rows]
+        out.hashes = [self.hashes[i] for i in rows.tolist()]
+        return out
+
+
+def common_in_tile(left: Tile, right: Tile) -> np.ndarray:
+    """The size of the intersection of every set of one side with every set of the other, exactly."""
+    keys = np.intersect1d(np.concatenate(left.hashes), np.concatenate(right.hashes))
+    out = np.zeros((len(left.hashes), len(right.hashes)), np.float32)
+    for start in range(0, len(keys), TILE_COLUMNS):
+        some = keys[start : start + TILE_COLUMNS]
+        sides = []
+        for side in (left, right):
+            held = np.zeros((len(side.hashes), len(some)), np.float32)
+            for row, hashes in enumerate(side.hashes):
+                at = np.minimum(np.searchsorted(hashes, some), len(hashes) - 1)
+                held[row] = hashes[at] == some
+            sides.append(held)
+        out += sides[0] @ sides[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def linked_labels(left: Tile, right: Tile, percent: int) -> np.ndarray:
+    """Pairs of labels between which the tile holds a link."""
+    small, large = np.minimum.outer(left.count, right.count), np.maximum.outer(left.count, right.count)
+    open_ = (left.label[:, None] != right.label) & (100 * small >= percent * large)
+    matches = np.zeros(open_.shape, np.int16)
+    for upto in range(BATCH, HASHES + 1, BATCH):
+        for j in range(upto - BATCH, upto):
+            matches += left.signatures[:, j, None] == right.signatures[:, j]
+        open_ &= matches >= fewest_matches(percent / 100, upto)
+        if not open_.any():
+            return np.empty((0, 2), np.int64)
+    rows, columns = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+    left, right, open_ = left.some(rows), right.some(columns), open_[np.ix_(rows, columns)]
+    both = common_in_tile(left, right)
+    a, b = np.nonzero(open_ & (100 * both >= percent * (left.count[:, None] + right.count - both)))
+    return np.unique(np.column_stack([left.label[a], right.label[b]]), axis=0)
+
+
 @arrow_udf(LongType())
 def common_hashes(left: pa.Array, right: pa.Array) -> pa.Array:
     """The size of the intersection of two sorted sets of 64-bit hashes."""
@@ -154,6 +209,7 @@ class Search:
     """The state of one run: the nodes that share buckets, their sets, and the links found so far."""
 
     def __init__(self, docs: DataFrame, size: int, percent: int):
+        ship_package(docs.sparkSession)
         self.percent = percent
         keyed = docs.select("doc_id", whole_text("text").alias("text"), "row")
         described = keyed.withColumn("d", _described(size, False)("text")).select("doc_id", "row", "d.*")
@@ -192,18 +248,44 @@ class Search:
         leaders = leaders.select("bucket", F.col("least.node").alias("leader"), F.col("least.label").alias("led"))
         return members.join(leaders, "bucket").where("label <> led").select("node", "leader")
 
-    def _exhaustive(self, members: DataFrame) -> DataFrame:
-        """All pairs from different components that share a bucket, in large buckets a second one too."""
-        sizes = members.groupBy("bucket").count()
-        large = sizes.where(F.col("count") > LARGE_BUCKET).select("bucket")
-        small = members.join(large, "bucket", "left_anti")
-        other = self.shared.select("node", F.col("bucket").alias("second"))
-        finer = members.join(large, "bucket", "left_semi").join(other, "node").where("second <> bucket")
-        finer = finer.select(F.xxhash64("bucket", "second").alias("bucket"), "node", "label")
-        left = stored(small.unionByName(finer), "members")
+    def _pairs_of_small(self, members: DataFrame) -> DataFrame:
+        """All pairs from different components in buckets of few members."""
+        sizes = members.groupBy("bucket").count().where(F.col("count") <= LARGE_BUCKET)
+        left = members.join(sizes.select("bucket"), "bucket", "left_semi")
         right = left.select("bucket", F.col("node").alias("leader"), F.col("label").alias("led"))
         return left.join(right, "bucket").where("node < leader and label <> led").select("node", "leader")
 
+    def _links_of_large(self, members: DataFrame) -> DataFrame:
+        """Links between components in large buckets, as pairs of labels."""
+        firsts = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first"))
+        firsts = firsts.where(F.col("n") > LARGE_BUCKET).select("bucket", "first")
+        large = stored(members.join(firsts, "bucket").select("node", "label", "first"), "large")
+        if large.isEmpty():
+            return self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")).limit(0)
+        clusters = components(large, "node", "first")
+        rows = large.select("node", "label").distinct().join(clusters, "node").withColumnRenamed("root", "cluster")
+        rows = stored(rows.select("node", "label", "cluster"), "clusters")
+        counts = rows.groupBy("cluster", "label").count()
+        most = counts.groupBy("cluster").agg(F.max(F.struct("count", "label")).alias("most"), F.sum("count").alias("all"))
+        blocks = [F.ceil(n / TILE_ROWS).cast("int") for n in (F.col("all") - F.col("most.count"), F.col("all"))]
+        clusters = most.where("all > most.count").select("cluster", F.col("most.label").alias("main"), blocks[0].alias("rows"), blocks[1].alias("columns"))
+        placed = rows.join(clusters, "cluster").join(self.sets, "node").drop("node")
+        own = [F.pmod(F.xxhash64("signature", "label", F.lit(3)), F.col(c)).cast("int") for c in ("rows", "columns")]
+        all_ = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("rows", "columns")]
+        left = placed.where("label <> main").withColumn("row", own[0]).withColumn("column", all_[1])
+        right = placed.withColumn("column", own[1]).withColumn("row", all_[0])
+        percent = self.percent
+
+        def links(key, left: pa.Table, right: pa.Table) -> pa.Table:
+            found = np.empty((0, 2), np.int64)
+            if len(left) and len(right):
+                found = linked_labels(Tile(left), Tile(right), percent)
+            return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+
+        keys, columns = ["cluster", "row", "column"], ["label", "n_shingles", "signature", "hashes"]
+        left, right = (side.select(*keys, *columns).toDF(*keys, *columns) for side in (left, right))
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(links, "a bigint, b bigint")
+
     def _verified(self, pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         side = self.sets.select("node", "n_shingles", "signature")
@@ -220,17 +302,19 @@ class Search:
         union = F.col("a_n_shingles") + F.col("b_n_shingles") - F.col("both")
         return both.where(100 * F.col("both") >= self.percent * union).select("a", "b")
 
+    def _join(self, links: DataFrame) -> None:
+        links = stored(links, "links")
+        if not links.isEmpty():
+            known = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            self.roots = stored(components(links.unionByName(known)), "roots")
+
     def run(self) -> DataFrame:
         """Node and root of all nodes with links."""
-        for round_ in range(ROUNDS + 1):
+        for round_ in range(ROUNDS):
             members = stored(self._open(), "members")
-            if members.isEmpty():
-                break
-            pairs = self._with_leaders(members, round_) if round_ < ROUNDS else self._exhaustive(members)
-            links = stored(self._verified(pairs), "links")
-            if not links.isEmpty():
-                known = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-                self.roots = stored(components(links.unionByName(known)), "roots")
+            self._join(self._verified(self._with_leaders(members, round_)))
+        members = stored(self._open(), "members")
+        self._join(self._verified(self._pairs_of_small(members)).unionByName(self._links_of_large(members)))
         return self.roots
 
 
