@@ -29,6 +29,7 @@ HEADLINES = [
     "check_category_gap",
     "check_cause_gap",
     "check_unique",
+    "check_all",
     "carry_forward",
     "daily_orders",
     "dedup_orders",
