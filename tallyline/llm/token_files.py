@@ -22,7 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm.common import digest, in_chunks, read_bytes, row_key, whole_text
+from tallyline.llm.common import digest, in_chunks, read_bytes, row_key, ship_package, whole_text
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8000
 DICTIONARY_BYTES = 1 << 16
@@ -125,8 +125,10 @@ def decompressor_of(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 def train_dictionary(docs: DataFrame, tokenizer: bytes, end_id: int, doc_id: str = "doc_id", text: str = "text") -> bytes:
     """A dictionary from the bounded sample; empty (frames then need none) if the sample is too small."""
-    short = docs.select(row_key(doc_id, text).alias("key"), text).where(F.length(text) <= SAMPLE_CHARS)
-    sample = [row[text] for row in short.orderBy("key", text).limit(SAMPLE_DOCS).collect()]
+    short = docs.where(F.length(text) <= SAMPLE_CHARS).select(F.xxhash64(row_key(doc_id, text)).alias("key"), text)
+    chosen = short.select("key").distinct().orderBy("key").limit(SAMPLE_DOCS)  # keys first: tasks send no texts that don't count
+    texts = short.join(F.broadcast(chosen), "key").groupBy("key").agg(F.any_value(text).alias("text"))
+    sample = [row["text"] for row in sorted(texts.collect())]
     end = end_id.to_bytes(4, "little")
     ids = [row + end for row in encoder_of(tokenizer).encode(sample)]
     try:
@@ -155,6 +157,7 @@ def write_token_files(
     are all written, in the order of their texts' hashes; an empty table gives files without blocks.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     tokenizer = read_bytes(tokenizer_path)
@@ -199,6 +202,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per document in the files: its id, the number of ids before it in the whole order, its
     number of ids, and the ids as little-endian 32-bit integers. A block whose dictionary is another
     one than the files' fails."""
+    ship_package(spark)
     name, dictionary = spark.read.parquet(f"{folder}/dictionary").first()
     dictionary = bytes(dictionary)
     blocks = spark.read.parquet(f"{folder}/blocks")
