@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from tallyline.llm.common import in_chunks, row_key, ship_package, stored, whole_text
+from tallyline.llm.common import give_back_memory, in_chunks, row_key, ship_package, stored, whole_text
 from tallyline.llm.graphs import components
 from tallyline.llm.words import byte_class, mixed, shingle_hashes, word_hashes
 
@@ -111,6 +111,7 @@ def _described(size: int, with_sets: bool):
                 "signature": pa.array(signatures, pa.binary()),
             }
             yield _struct(columns | ({"hashes": pa.array(sets, pa.binary())} if with_sets else {}))
+        give_back_memory()
 
     return described
 

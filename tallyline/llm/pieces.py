@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyline.llm.common import in_chunks, read_bytes, ship_package, whole_text
+from tallyline.llm.common import give_back_memory, in_chunks, read_bytes, ship_package, whole_text
 
 SPACE = "▁"
 LONG_WORD = 512
@@ -341,6 +341,8 @@ def digest_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFra
                 decoded += [hashlib.sha256(t.encode()).hexdigest() for t in model.decode(rows)]
             parts = pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())
             yield pa.StructArray.from_arrays(parts, ["n_tokens", "ids_sha256", "decoded_sha256"])
+        model.forget()
+        give_back_memory()
 
     out = df.withColumn("__digests", digests(whole_text(text)))
     for name in ("n_tokens", "ids_sha256", "decoded_sha256"):

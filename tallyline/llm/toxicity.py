@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyline.llm.common import in_chunks, ship_package, whole_text
+from tallyline.llm.common import give_back_memory, in_chunks, ship_package, whole_text
 from tallyline.llm.recurrent import Adam, Weights, gradients, initial, logits, sigmoid
 from tallyline.llm.words import BYTE_CODES, Words, mixed
 
@@ -249,5 +249,6 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text", score: str
         for batch in batches:
             parts = [model.scores(texts) for texts in in_chunks(batch)]
             yield pa.array(np.concatenate([np.empty(0), *parts]), pa.float64())
+        give_back_memory()
 
     return docs.withColumn(score, scored(whole_text(text)))
