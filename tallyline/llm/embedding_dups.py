@@ -5,7 +5,7 @@ angle of each other's centre are a ball: all of them are linked, whatever their
 graph holds the centres alone and a large group of near copies is counted, not paired. Every vector is
 searched in every shard for all centres whose ball may hold a partner. A beam that such centres fill
 to half is widened, and so is the whole block's until an audit of some of its queries against all
-centres finds ``AUDIT_RECALL`` of them. Balls that lie within the linking angle as a whole are counted;
+centres has found ``PARTNER_RECALL`` of those that may hold partners and ``NEAREST_RECALL`` of the nearest. Balls that lie within the linking angle as a whole are counted;
 members of the others are verified one by one by cosine in double precision. One link per ball is
 enough to unite components.
 """
@@ -13,23 +13,24 @@ enough to unite components.
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyline.llm.common import stored
+from tallyline.llm.common import ship_package, stored
 from tallyline.llm.graphs import components
 from tallyline.llm.hnsw import BATCH, Graph
 from tallyline.llm.vectors import is_vector, matrix, unit, usable_vectors
 
 SHARD_ROWS, LEAST_SHARDS = 50_000, 4
-BLOCK_ROWS = 8192
-FIRST_BEAM = 64
-AUDITS, AUDIT_RECALL = 64, 0.99
+BLOCK_ROWS = 16384
+FIRST_BEAM = 32
+AUDITS, PARTNER_RECALL, NEAREST_RECALL = 256, 0.99, 0.85
 SLACK = 1e-6  # radians by which a whole ball must lie inside, against rounding
 
-SHARD_TYPE = "dim int, shard int, vec_id binary, vectors binary, centre binary, angle binary"
+SHARD_TYPE = "dim int, shard int, vec_id binary, vectors binary, centre binary, angle binary, graph binary"
 FOUND_TYPE = "vec_id bigint, row bigint, n bigint, partners array<bigint>"
 
 
@@ -93,7 +94,7 @@ class Shard:
         self.sizes = sizes
         self.radius = np.maximum.reduceat(angle[self.members], self.starts)
         self.centres = self.units[self.members[self.starts]]  # the centre itself has the smallest angle
-        self.graph = Graph(self.centres)
+        self.graph = pickle.loads(row["graph"]) if row.get("graph") else Graph(self.centres)
 
     def candidates(self, queries: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of query and ball whose centre is at most ``reach`` radians away."""
@@ -101,8 +102,7 @@ class Shard:
         width = min(FIRST_BEAM, len(self.centres))
         audited = np.arange(0, len(queries), max(1, len(queries) // AUDITS))
         exact = queries[audited] @ self.centres.T
-        expected = exact >= least
-        expected[np.arange(len(audited)), exact.argmax(axis=1)] = True
+        expected, nearest = exact >= least, exact.argmax(axis=1)
         todo = np.arange(len(queries))
         rows, balls = [], []
         while len(todo):
@@ -111,8 +111,10 @@ class Shard:
             everything = width >= len(self.centres)
             full = close.sum(axis=1) > width // 2
             if len(todo) == len(queries) and not everything:
-                hits = sum(expected[i, nodes[at][nodes[at] >= 0]].sum() for i, at in enumerate(audited))
-                if hits < AUDIT_RECALL * expected.sum():
+                found = [nodes[at][nodes[at] >= 0] for at in audited]
+                partners = sum(expected[i, own].sum() for i, own in enumerate(found))
+                best = sum(nearest[i] in own for i, own in enumerate(found))
+                if partners < PARTNER_RECALL * expected.sum() or best < NEAREST_RECALL * len(audited):
                     width *= 2
                     continue
             done = ~full | everything
@@ -154,6 +156,7 @@ def embedding_duplicates(
     neither have rows without an id; vectors of different lengths are never linked. Rows that repeat an
     id and vector are vectors of their own, linked with each other, and share one component id.
     """
+    ship_package(df.sparkSession)
     linked = math.acos(cosine)
     rows = stored(usable_vectors(df, vec_id, embedding), "vectors")
     count = rows.count()
@@ -163,10 +166,11 @@ def embedding_duplicates(
     def gather(part: pa.Table) -> pa.Table:
         vectors = matrix(part["vector"])
         balls = Balls(vectors, linked / 2 - SLACK)
+        held = {"vec_id": part["vec_id"].to_numpy().astype(np.int64), "vectors": vectors, "centre": balls.centre, "angle": balls.angle}
+        held = {name: values.tobytes() for name, values in held.items()}
         columns = {
             "dim": part["dim"][0].as_py(), "shard": part["shard"][0].as_py(),
-            "vec_id": part["vec_id"].to_numpy().astype(np.int64).tobytes(), "vectors": vectors.tobytes(),
-            "centre": balls.centre.tobytes(), "angle": balls.angle.tobytes(),
+            **held, "graph": pickle.dumps(Shard(held).graph),
         }
         schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in list(columns)[2:]]])
         return pa.Table.from_pylist([columns], schema)
@@ -175,7 +179,8 @@ def embedding_duplicates(
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
         shard = Shard(left.to_pylist()[0]) if len(left) and len(right) else None
-        found = shard.partners(unit(matrix(right["vector"])), linked) if shard else (np.empty(0, np.int64), [])
+        none = np.zeros(len(right), np.int64), [[] for _ in range(len(right))]
+        found = shard.partners(unit(matrix(right["vector"])), linked) if shard else none
         return pa.table({
             "vec_id": right["vec_id"], "row": right["row"], "n": pa.array(found[0], pa.int64()),
             "partners": pa.array(found[1], pa.list_(pa.int64())),
