@@ -4,10 +4,12 @@ Vectors are dealt into shards by hash, each with a graph of its own. Vectors wit
 angle of each other's centre are a ball: all of them are linked, whatever their number, so that the
 graph holds the centres alone and a large group of near copies is counted, not paired. Every vector is
 searched in every shard for all centres whose ball may hold a partner. A beam that such centres fill
-to half is widened, and so is the whole block's until an audit of some of its queries against all
-centres has found ``PARTNER_RECALL`` of those that may hold partners and ``NEAREST_RECALL`` of the nearest. Balls that lie within the linking angle as a whole are counted;
-members of the others are verified one by one by cosine in double precision. One link per ball is
-enough to unite components.
+to half is widened. So is a shard's until an audit of ``AUDITS`` of its own vectors that have partners in
+it, and then a block's until an audit of ``AUDITS`` of its queries, find ``AUDIT_RECALL`` of the centres
+that may hold partners and of the nearest ones, both against all centres. Where the beam would be a
+large share of the centres, all are compared. Balls that lie within the linking angle as a whole are
+counted; members of the others are verified one by one by cosine in double precision. One link per
+ball is enough to unite components. A vector finds its own ball by its place, not by search.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ from tallyline.llm.vectors import is_vector, matrix, unit, usable_vectors
 
 SHARD_ROWS, LEAST_SHARDS = 50_000, 4
 BLOCK_ROWS = 16384
-FIRST_BEAM = 32
-AUDITS, PARTNER_RECALL, NEAREST_RECALL = 256, 0.99, 0.85
+FIRST_BEAM = 64
+EXACT_SHARE = 16  # beams of a wider share of the centres than 1 in so many give way to all centres
+AUDITS, AUDIT_RECALL = 256, 0.99
+ROUNDING = 1e-4  # of the graph's cosines, which are single precision
 SLACK = 1e-6  # radians by which a whole ball must lie inside, against rounding
 
-SHARD_TYPE = "dim int, shard int, vec_id binary, vectors binary, centre binary, angle binary, graph binary"
+SHARD_TYPE = "dim int, shard int, vec_id binary, row binary, vectors binary, centre binary, angle binary, graph binary, beam int"
 FOUND_TYPE = "vec_id bigint, row bigint, n bigint, partners array<bigint>"
 
 
@@ -83,8 +87,9 @@ class Shard:
 
     def __init__(self, row: dict):
         self.vec_id = np.frombuffer(row["vec_id"], np.int64)
+        self.row = np.frombuffer(row["row"], np.int64)
         self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(self.vec_id), -1)
-        centre = np.frombuffer(row["centre"], np.int64)
+        self.ball = centre = np.frombuffer(row["centre"], np.int64)
         angle = np.frombuffer(row["angle"], np.float64)
         self.units = unit(self.vectors)
         # Members ball by ball, in the order of their angles to the centre.
@@ -95,54 +100,105 @@ class Shard:
         self.radius = np.maximum.reduceat(angle[self.members], self.starts)
         self.centres = self.units[self.members[self.starts]]  # the centre itself has the smallest angle
         self.graph = pickle.loads(row["graph"]) if row.get("graph") else Graph(self.centres)
+        self.beam = row.get("beam") or FIRST_BEAM
+
+    def exact(self, width: int) -> bool:
+        """Whether queries are compared with all centres instead of a beam so wide."""
+        return EXACT_SHARE * width >= len(self.centres)
+
+    def audited_beam(self, queries: np.ndarray, cosines: np.ndarray, least: float, width: int) -> int:
+        """The first width from ``width`` on that finds enough of the centres at ``least`` or more and of the nearest."""
+        expected, nearest, each = cosines >= least, cosines.argmax(axis=1), np.arange(len(queries))
+        while len(queries) and not self.exact(width):
+            nodes, _ = self.graph.search(queries, width)
+            found = np.zeros((len(queries), len(self.centres) + 1), bool)
+            found[each[:, None], nodes] = True  # -1 for none is the last column
+            partners, best = (found[:, :-1] & expected).sum(), found[each, nearest].sum()
+            if partners >= AUDIT_RECALL * expected.sum() and best >= AUDIT_RECALL * len(queries):
+                break
+            width *= 2
+        return width
+
+    def partnered(self, linked: float) -> np.ndarray:
+        """``AUDITS`` of the shard's own vectors that have partners in it, or all of them if there are fewer."""
+        order, chosen = np.random.default_rng(1).permutation(len(self.units)), np.empty(0, np.int64)
+        for start in range(0, len(order), AUDITS):
+            some = order[start : start + AUDITS]
+            partners = (self.units[some] @ self.units.T >= math.cos(linked)).sum(axis=1) - 1
+            chosen = np.append(chosen, some[partners > 0])
+            if len(chosen) >= AUDITS:
+                break
+        return chosen[:AUDITS]
+
+    def own_beam(self, linked: float) -> int:
+        """The beam that the shard's own vectors need. A centre finds itself at once, so that does not count."""
+        if self.exact(self.beam):
+            return self.beam
+        audited = self.partnered(linked)
+        queries = self.units[audited]
+        cosines = queries @ self.centres.T
+        place = self.members[self.starts[self.ball[audited]]] == audited
+        cosines[place, self.ball[audited][place]] = -2
+        return self.audited_beam(queries, cosines, math.cos(linked + self.radius.max()), self.beam)
 
     def candidates(self, queries: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of query and ball whose centre is at most ``reach`` radians away."""
         least = math.cos(reach)
-        width = min(FIRST_BEAM, len(self.centres))
-        audited = np.arange(0, len(queries), max(1, len(queries) // AUDITS))
-        exact = queries[audited] @ self.centres.T
-        expected, nearest = exact >= least, exact.argmax(axis=1)
+        audited = queries[:: max(1, len(queries) // AUDITS)]
+        width = self.beam if self.exact(self.beam) else self.audited_beam(audited, audited @ self.centres.T, least, self.beam)
         todo = np.arange(len(queries))
         rows, balls = [], []
-        while len(todo):
+        while len(todo) and not self.exact(width):
             nodes, scores = self.graph.search(queries[todo], width)
-            close = (scores >= least - 1e-4) & (nodes >= 0)
-            everything = width >= len(self.centres)
-            full = close.sum(axis=1) > width // 2
-            if len(todo) == len(queries) and not everything:
-                found = [nodes[at][nodes[at] >= 0] for at in audited]
-                partners = sum(expected[i, own].sum() for i, own in enumerate(found))
-                best = sum(nearest[i] in own for i, own in enumerate(found))
-                if partners < PARTNER_RECALL * expected.sum() or best < NEAREST_RECALL * len(audited):
-                    width *= 2
-                    continue
-            done = ~full | everything
+            close = (scores >= least - ROUNDING) & (nodes >= 0)
+            done = close.sum(axis=1) <= width // 2
             at, column = np.nonzero(close & done[:, None])
             rows.append(todo[at])
             balls.append(nodes[at, column])
             todo = todo[~done]
             width *= 2
+        for start in range(0, len(todo), AUDITS):
+            some = todo[start : start + AUDITS]
+            at, ball = np.nonzero(queries[some] @ self.centres.T >= least - ROUNDING)
+            rows.append(some[at])
+            balls.append(ball)
         return np.concatenate(rows), np.concatenate(balls)
 
-    def partners(self, queries: np.ndarray, linked: float) -> tuple[np.ndarray, list[list[int]]]:
-        """How many vectors here each query is linked with, and the id of one of them for each ball."""
+    def places(self, vec_id: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of query and member that are the same vector of the table, or copies of it."""
+        order = np.argsort(self.row, kind="stable")
+        first, upto = (np.searchsorted(self.row[order], row, side) for side in ("left", "right"))
+        query = np.repeat(np.arange(len(row)), upto - first)
+        step = np.arange(len(query)) - np.repeat(np.cumsum(upto - first) - (upto - first), upto - first)
+        member = order[first[query] + step]
+        same = self.vec_id[member] == vec_id[query]
+        return query[same], member[same]
+
+    def partners(self, queries: np.ndarray, linked: float, vec_id: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        """How many vectors here each query is linked with, itself and its copies by their place, and the
+        id of one of them for each ball."""
         counts = np.zeros(len(queries), np.int64)
         partners: list[list[int]] = [[] for _ in range(len(queries))]
+        own, place = self.places(vec_id, row)
         rows, balls = self.candidates(queries, linked + self.radius.max())
+        own_pairs = own * len(self.centres) + self.ball[place]
+        pairs = np.union1d(rows * len(self.centres) + balls, own_pairs)
+        rows, balls = np.divmod(pairs, len(self.centres))
         angle = angles(np.einsum("ij,ij->i", queries[rows], self.centres[balls]))
         whole = angle + self.radius[balls] <= linked - SLACK
         np.add.at(counts, rows[whole], self.sizes[balls[whole]])
-        for row, ball in zip(rows[whole].tolist(), balls[whole].tolist(), strict=True):
-            partners[row].append(int(self.vec_id[self.members[self.starts[ball]]]))
+        np.subtract.at(counts, own[np.isin(own_pairs, pairs[whole])], 1)
+        np.add.at(counts, own, 1)
+        for at, ball in zip(rows[whole].tolist(), balls[whole].tolist(), strict=True):
+            partners[at].append(int(self.vec_id[self.members[self.starts[ball]]]))
         least = math.cos(linked)
         part = ~whole & (angle - self.radius[balls] <= linked + SLACK)
-        for row, ball in zip(rows[part].tolist(), balls[part].tolist(), strict=True):
+        for at, ball in zip(rows[part].tolist(), balls[part].tolist(), strict=True):
             members = self.members[self.starts[ball] : self.starts[ball] + self.sizes[ball]]
-            found = members[self.units[members] @ queries[row] >= least]
+            found = members[self.units[members] @ queries[at] >= least]
             if len(found):
-                counts[row] += len(found)
-                partners[row].append(int(self.vec_id[found[0]]))
+                counts[at] += ((self.vec_id[found] != vec_id[at]) | (self.row[found] != row[at])).sum()
+                partners[at].append(int(self.vec_id[found[0]]))
         return counts, partners
 
 
@@ -166,13 +222,16 @@ def embedding_duplicates(
     def gather(part: pa.Table) -> pa.Table:
         vectors = matrix(part["vector"])
         balls = Balls(vectors, linked / 2 - SLACK)
-        held = {"vec_id": part["vec_id"].to_numpy().astype(np.int64), "vectors": vectors, "centre": balls.centre, "angle": balls.angle}
+        ids = {name: part[name].to_numpy().astype(np.int64) for name in ("vec_id", "row")}
+        held = {**ids, "vectors": vectors, "centre": balls.centre, "angle": balls.angle}
         held = {name: values.tobytes() for name, values in held.items()}
+        shard = Shard(held)
         columns = {
             "dim": part["dim"][0].as_py(), "shard": part["shard"][0].as_py(),
-            **held, "graph": pickle.dumps(Shard(held).graph),
+            **held, "graph": pickle.dumps(shard.graph), "beam": shard.own_beam(linked),
         }
-        schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in list(columns)[2:]]])
+        binary = [(c, pa.binary()) for c in list(columns)[2:-1]]
+        schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), *binary, ("beam", pa.int32())])
         return pa.Table.from_pylist([columns], schema)
 
     built = stored(dealt.groupBy("dim", "shard").applyInArrow(gather, SHARD_TYPE), "shards")
@@ -180,7 +239,8 @@ def embedding_duplicates(
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
         shard = Shard(left.to_pylist()[0]) if len(left) and len(right) else None
         none = np.zeros(len(right), np.int64), [[] for _ in range(len(right))]
-        found = shard.partners(unit(matrix(right["vector"])), linked) if shard else none
+        ids = (right[name].to_numpy().astype(np.int64) for name in ("vec_id", "row"))
+        found = shard.partners(unit(matrix(right["vector"])), linked, *ids) if shard else none
         return pa.table({
             "vec_id": right["vec_id"], "row": right["row"], "n": pa.array(found[0], pa.int64()),
             "partners": pa.array(found[1], pa.list_(pa.int64())),

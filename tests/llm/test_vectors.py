@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.llm import embedding_dups
 from tallyline.llm.embedding_dups import embedding_duplicates
 from tallyline.llm.hnsw import Graph
 from tallyline.llm.posting_lists import nearest_neighbours
@@ -64,6 +65,63 @@ def test_one_vector_held_by_most_rows(spark):
     assert {found[i].n_links for i in range(0, 900, 3)} == {299} and {found[i].component_id for i in range(0, 900, 3)} == {0}
 
 
+class Narrow:
+    """A graph that finds the best centres of every query in wide beams only, else the nearest one of nine in ten."""
+
+    def __init__(self, centres, wide):
+        self.centres, self.wide = centres, wide
+
+    def search(self, queries, width):
+        scores = queries @ self.centres.T
+        nodes = np.argsort(-scores, axis=1)[:, :width]
+        if width < self.wide:
+            nodes = np.where((np.arange(width) == 0) & (np.arange(len(queries)) % 10 > 0)[:, None], nodes, -1)
+        return nodes, np.where(nodes >= 0, np.take_along_axis(scores, nodes, axis=1), -np.inf)
+
+
+def shard_of(rows, wide, linked):
+    balls = embedding_dups.Balls(rows, linked / 2 - embedding_dups.SLACK)
+    ids = np.arange(len(rows), dtype=np.int64)
+    held = {"vec_id": ids, "row": ids * 7, "vectors": rows, "centre": balls.centre, "angle": balls.angle}
+    shard = embedding_dups.Shard({name: values.tobytes() for name, values in held.items()})
+    shard.graph = Narrow(shard.centres, wide)
+    return shard
+
+
+def test_audits_ask_for_nearly_all_nearest_centres():
+    random = np.random.default_rng(5)
+    linked = np.arccos(0.95)
+    shard = shard_of(random.standard_normal((6000, 24)), 128, linked)
+    queries = embedding_dups.unit(random.standard_normal((3000, 24)))
+    queries[10] = embedding_dups.unit(shard.units[:1] + 0.01)  # the only one with a partner, which the audit does not draw
+    rows, balls = shard.candidates(queries, 1.5 * linked)
+    expected = np.nonzero(queries @ shard.centres.T >= np.cos(1.5 * linked))
+    assert {*zip(*(x.tolist() for x in expected), strict=True)} <= {*zip(rows.tolist(), balls.tolist(), strict=True)}
+    assert 10 in rows
+    audited = queries[:300]
+    assert shard.audited_beam(audited, audited @ shard.centres.T, np.cos(linked), 64) == 128
+
+
+def test_audits_take_the_shards_own_vectors_that_have_partners():
+    random = np.random.default_rng(6)
+    linked = np.arccos(0.95)
+    rows = random.standard_normal((5000, 24))
+    rows[4000:] = rows[:1000] + 0.2 * random.standard_normal((1000, 24))
+    shard = shard_of(rows, 256, linked)
+    own = shard.partnered(linked)
+    assert len(own) == embedding_dups.AUDITS and ((shard.units[own] @ shard.units.T >= 0.95).sum(axis=1) > 1).all()
+    assert shard.own_beam(linked) == 256
+
+
+def test_a_vector_counts_itself_without_being_found():
+    random = np.random.default_rng(7)
+    linked = np.arccos(0.95)
+    shard = shard_of(np.repeat(random.standard_normal((3000, 24)), [2] + [1] * 2999, axis=0), 10**9, linked)
+    shard.candidates = lambda queries, reach: (np.empty(0, np.int64), np.empty(0, np.int64))
+    counts, partners = shard.partners(shard.units, linked, shard.vec_id, shard.row)
+    assert counts.tolist() == [2, 2] + [1] * 2999 and all(partners)
+
+
 @pytest.mark.parametrize("euclidean", [False, True])
 def test_graph_finds_near_vectors(euclidean):
     random = np.random.default_rng(2)
