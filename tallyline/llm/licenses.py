@@ -25,7 +25,8 @@ TIER_SCORES = (1.0, 0.9, 0.7, 0.5)
 # Phrases whose places are always reported, each with its label and keyword.
 BASE_PHRASES = [("cc-by", "cc", "cc by"), ("gpl", "general", "general public license"), ("reserved", "reserved", "all rights reserved")]
 
-# Names of licenses as patterns over words: label, keyword, pattern of the name, versions.
+# Names of licenses as patterns over words: label, keyword, pattern of the name, versions. Whatever a
+# pattern matches holds a word that begins with the keyword.
 NAMED = [
     ("apache", "apache", "apache (software )?licen[sc]e", ["1.0", "1.1", "2.0"]),
     ("gpl", "public", "gnu general public licen[sc]e", ["1.0", "2.0", "3.0"]),
@@ -41,7 +42,8 @@ NAMED = [
     ("osl", "open", "open software licen[sc]e", ["1.0", "2.0", "2.1", "3.0"]),
     ("afl", "academic", "academic free licen[sc]e", ["1.1", "1.2", "2.0", "2.1", "3.0"]),
     ("apsl", "apple", "apple public source licen[sc]e", ["1.0", "1.1", "1.2", "2.0"]),
-    ("python", "python", "(python software foundation|psf) licen[sc]e", ["2.0"]),
+    ("python", "python", "python software foundation licen[sc]e", ["2.0"]),
+    ("python", "psf", "psf licen[sc]e", ["2.0"]),
     ("php", "php", "php licen[sc]e", ["3.0", "3.01"]),
     ("bsl", "boost", "boost software licen[sc]e", ["1.0"]),
     ("ofl", "open", "sil open font licen[sc]e", ["1.0", "1.1"]),
@@ -56,7 +58,8 @@ NAMED = [
     ("wtfpl", "public", "do what the fuck you want to public licen[sc]e", []),
     ("beerware", "beer", "beer ?ware licen[sc]e", []),
     ("unlicense", "unlicense", "(the )?unlicense", []),
-    ("bsd-2-clause", "bsd", "(bsd 2 clause|2 clause bsd|simplified bsd|freebsd)( licen[sc]e)?", []),
+    ("bsd-2-clause", "bsd", "(bsd 2 clause|2 clause bsd|simplified bsd)( licen[sc]e)?", []),
+    ("bsd-2-clause", "freebsd", "freebsd( licen[sc]e)?", []),
     ("bsd-3-clause", "bsd", "(bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)( licen[sc]e)?", []),
     ("bsd-4-clause", "bsd", "(bsd 4 clause|4 clause bsd|original bsd)( licen[sc]e)?", []),
     ("bsd", "bsd", "bsd( style)? licen[sc]e", []),
@@ -73,7 +76,7 @@ SENTENCES = [
     ("cc0-1.0", "cc0", "cc0( 1 0)?( universal)?", 2),
     ("public-domain", "domain", "(released|placed|dedicated|is) (in|into|to) the public domain", 2),
     ("public-domain", "domain", "public domain", 4),
-    ("reserved", "rights", "no part of this (publication|work|book|document) may be reproduced", 2),
+    ("reserved", "reproduced", "no part of this (publication|work|book|document) may be reproduced", 2),
     ("reserved", "rights", "copyright( c)? [0-9]+ .{0,60} all rights reserved", 3),
     ("proprietary", "proprietary", "proprietary and confidential", 3),
     ("copyright", "copyright", "copyright( c)? [0-9]{4}", 4),
@@ -112,7 +115,7 @@ def _rules() -> list[tuple]:
             (label, "creativecommons", f"creativecommons org licen[sc]es {words}{upto}", 1 if version else 2),
             (label, "spdx", f"spdx licen[sc]e identifier cc {words}{upto}", 1),
         ]
-    return out + SENTENCES
+    return list(dict.fromkeys(out)) + SENTENCES  # names of one label share their identifiers
 
 
 def compiled(pattern: str) -> str:

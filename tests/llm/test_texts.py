@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -79,6 +80,50 @@ def test_license_rules_by_tier_and_containment(spark):
     assert found[6].n_words == 4 and found[6].found == []
 
 
+def samples(parsed, whole=True):
+    """Strings that a parsed pattern matches: every alternative, with optional parts and (if ``whole``) without."""
+    out = [""]
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            own = [chr(value)]
+        elif kind == "IN":
+            own = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value][: 2 if whole else 1]
+        elif kind == "BRANCH":
+            own = [x for branch in value[1] for x in samples(branch, whole)]
+        elif kind == "SUBPATTERN":
+            own = samples(value[3], whole)
+        else:
+            assert kind in ("MAX_REPEAT", "MIN_REPEAT")
+            least, most, inner = value
+            once = [] if str(inner[0][0]) == "ANY" else samples(inner, whole)
+            own = [x * least for x in once] if least else ["", *(once if whole else [])]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_every_alternative_of_every_license_rule_holds_its_keyword():
+    lost = [(label, text) for label, keyword, pattern, *_ in licenses.RULES
+            for text in samples(re._parser.parse(pattern)) if f" {keyword}" not in text]
+    assert lost == []
+
+
+def test_every_alternative_of_every_license_rule_is_found(spark):
+    patterns = [(tier, number, label, re.compile(pattern)) for number, (label, _, pattern, tier, _) in enumerate(licenses.RULES)]
+    texts = sorted({text for rule in licenses.RULES for text in samples(re._parser.parse(rule[2]), whole=False)})
+    found = scanned(spark, *(" ".join(text.split()) for text in texts))
+    for i, text in enumerate(texts):
+        own = [(tier, number, label) for tier, number, label, p in patterns if (m := p.search(text)) and m.span() == (0, len(text))]
+        best = min(own)
+        assert (found[i].found[0].label, found[i].found[0].tier, found[i].found[0].end) == (best[2], best[0], len(text.split())), text
+
+
+def test_license_phrases_without_the_usual_keywords(spark):
+    found = scanned(spark, "Under the FreeBSD License.", "PSF License 2.0", "No part of this publication may be reproduced.")
+    assert [found[i].labels for i in range(3)] == ["bsd-2-clause", "python-2.0", "reserved"]
+    assert [found[i].score for i in range(3)] == [0.7, 0.9, 0.9]
+
+
 def test_many_detections_in_one_text_and_clashing_columns(spark):
     df = spark.createDataFrame([("CC BY " * 3000, 7)], "text string, score int")
     row = licenses.scan_licenses(df).first()
