@@ -14,7 +14,7 @@ from tallyline.llm.lines import remove_shared_lines
 from tallyline.llm.minhash import drop_near_duplicates
 from tallyline.llm.mixing import mix_sources
 from tallyline.llm.pieces import digest_pieces
-from tallyline.llm.settings import MIN_SITES, MIX_WEIGHTS, PIECE_MODEL, TOXIC
+from tallyline.llm.settings import MIN_SITES, MIX_WEIGHTS, PASSAGE_SITES, PASSAGE_WORDS, PIECE_MODEL, TOXIC
 from tallyline.llm.toxicity import score_toxicity, train_toxicity
 
 
@@ -24,16 +24,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model, score="__toxicity").where(F.col("__toxicity") < TOXIC).select(docs.columns)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many sources share go, from all documents but the first; documents stay."""
-    cleaned = remove_shared_lines(docs, MIN_SITES, removed="__removed")
+def _without_lines(docs: DataFrame, min_sites: int, min_words: int = 1) -> DataFrame:
+    cleaned = remove_shared_lines(docs, min_sites, removed="__removed", min_words=min_words)
     n_chars = F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("bigint")
     return cleaned.withColumn("n_chars", n_chars).select(docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many sources share go, from all documents but the first; documents stay."""
+    return _without_lines(docs, MIN_SITES)
+
+
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return drop_near_duplicates(docs).select(docs.columns)
+    """Of each group of near duplicates the document with the smallest id stays; long lines that a few
+    sources still share then go, from all documents but the first. Before, they would be mostly lines of
+    copies, which would stay as what is left of them instead of going whole."""
+    kept = stored(drop_near_duplicates(docs).select(docs.columns), "near-deduplicated")
+    return _without_lines(kept, PASSAGE_SITES, PASSAGE_WORDS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

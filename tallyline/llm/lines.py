@@ -23,8 +23,8 @@ def _lines_of(text: str) -> Column:
     return F.split(whole_text(text), "\n")
 
 
-def line_places(docs: DataFrame, site: str, doc_id: str, text: str) -> DataFrame:
-    """One row per line that is not blank: two hashes of the trimmed line, its document, its number."""
+def line_places(docs: DataFrame, site: str, doc_id: str, text: str, min_words: int = 1) -> DataFrame:
+    """One row per line of at least ``min_words`` words: two hashes of the trimmed line, its document, its number."""
     lines = docs.select(
         F.col(doc_id).alias("doc"),
         row_key(doc_id, text).alias("row_key"),
@@ -33,7 +33,8 @@ def line_places(docs: DataFrame, site: str, doc_id: str, text: str) -> DataFrame
     )
     line = F.btrim("line", F.lit(BLANK))
     hashes = F.xxhash64(line).alias("h1"), F.xxhash64(line, F.lit(1)).alias("h2")
-    return lines.where(line != "").select("doc", "row_key", "site", "line_no", *hashes)
+    long = F.size(F.split(line, f"[{BLANK}]+")) >= min_words
+    return lines.where((line != "") & long if min_words > 1 else line != "").select("doc", "row_key", "site", "line_no", *hashes)
 
 
 def shared_lines(places: DataFrame, min_sites: int) -> DataFrame:
@@ -58,17 +59,23 @@ def shared_lines(places: DataFrame, min_sites: int) -> DataFrame:
 
 
 def remove_shared_lines(
-    docs: DataFrame, min_sites: int, site: str = "source", doc_id: str = "doc_id", text: str = "text", removed: str = "n_removed"
+    docs: DataFrame,
+    min_sites: int,
+    site: str = "source",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    removed: str = "n_removed",
+    min_words: int = 1,
 ) -> DataFrame:
     """Every document with its text without the lines that at least ``min_sites`` sites share, and
     their number in the column ``removed`` (which replaces an input column of that name).
 
-    Lines end at ``\\n`` and are compared without blanks at either end; blank lines are not looked at
-    and stay. A null site is a site of its own; a null text stays null. Rows that agree in id and text
+    Lines end at ``\\n`` and are compared without blanks at either end; blank lines and lines
+    of fewer than ``min_words`` words (between blanks) are not looked at and stay. A null site is a site of its own; a null text stays null. Rows that agree in id and text
     lose the same lines; a document may lose all of its lines and stays with an empty text. Other
     columns are kept.
     """
-    places = line_places(docs, site, doc_id, text)
+    places = line_places(docs, site, doc_id, text, min_words)
     shared = stored(shared_lines(places, min_sites), "shared-lines")
     place = F.struct("doc", "line_no")
     hits = (

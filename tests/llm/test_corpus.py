@@ -83,6 +83,23 @@ def test_one_very_common_line_and_a_long_text(spark, documents):
     assert found.where("doc_id = 999").first().text.endswith("l19999")
 
 
+def test_passages_of_few_sites_go_and_short_lines_and_copies_do_not_become_stubs(spark, documents):
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    passage, short, own = words("p", 40), words("s", 29), [words(f"own{i}x", 120) for i in range(12)]
+    entries = [(i, f"{own[i]}\n{passage}\n{short}", f"s{i % 3}") for i in range(6)]
+    entries += [(i, f"{own[6]}\n{own[7]}", f"s{i}") for i in range(20, 25)]
+    entries += [(i, f"{own[i - 22]}\n{words('two', 50)}", f"s{i % 2}") for i in range(30, 34)]
+    found = {r.doc_id: r for r in corpus_pipeline.minhash_dedup(spark, documents(*entries), None).collect()}
+    assert sorted(found) == [*range(6), 20, *range(30, 34)]
+    assert found[0].text == entries[0][1]
+    for i in range(1, 6):
+        assert found[i].text == f"{own[i]}\n{short}" and found[i].n_chars == len(found[i].text)
+    assert found[20].text == f"{own[6]}\n{own[7]}"
+    assert all(found[i].text.endswith("two49") for i in range(30, 34))
+
+
 # Components and near duplicates
 
 
