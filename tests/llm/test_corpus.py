@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyline.llm import lines, minhash, mixing, toxicity
+from tallyline.llm import lines, minhash, mixing, pieces, toxicity
+from tallyline.llm.common import table
 from tallyline.llm.graphs import components
+from tallyline.llm.settings import MIN_SITES, MIX_WEIGHTS, PASSAGE_SITES, PASSAGE_WORDS, PIECE_MODEL, TOXIC
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -254,3 +259,63 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark):
 def test_pipeline_runs_whole(spark):
     found = corpus_pipeline.run(spark, SMALL)
     assert found.count() > 100 and found.where("n_tokens < 2").count() == 0
+
+
+def plain_lines(docs, min_sites, min_words):
+    """Documents (id, text, source) without the shared lines, counted in a dictionary."""
+    sites, first = {}, {}
+    for i, text, source in sorted(docs):
+        for n, line in enumerate(text.split("\n")):
+            plain = line.strip(" \t\r")
+            if plain and len(re.split("[ \t\r]+", plain)) >= min_words:
+                sites.setdefault(plain, set()).add(source)
+                first.setdefault(plain, (i, n))
+    out = []
+    for i, text, source in docs:
+        rows = [(n, line, line.strip(" \t\r")) for n, line in enumerate(text.split("\n"))]
+        kept = [line for n, line, plain in rows if len(sites.get(plain, ())) < min_sites or first[plain] == (i, n)]
+        out.append((i, "\n".join(kept), source))
+    return out
+
+
+def test_pipeline_against_a_plain_version(spark, documents, tmp_path):
+    pick = random.Random(8)
+    vocabulary = ["".join(pick.choice("abdeilnorstu") for _ in range(pick.randint(3, 8))) for _ in range(900)]
+    passage = " ".join(pick.choices(vocabulary, k=45))
+    entries = []
+    for i in range(160):
+        own = [" ".join(pick.choices(vocabulary, k=pick.choice([12, 45]))) for _ in range(4)]
+        own += ["Share this page  "] * (i % 2) + [passage] * (i % 23 == 0) + ["zgrokel quvash " * 3] * (i % 5 == 0)
+        entries.append((i, "\n".join(own), f"src{i % 14}"))
+    for i in range(160, 200):  # near copies of earlier documents, on other sources
+        words = entries[i - 153][1].split(" ")
+        words[pick.randrange(len(words))] += "x"
+        entries.append((i, " ".join(words), f"src{i % 11}"))
+    documents(*entries).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int("zgrokel" in text)) for i, text, _ in entries]
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    model = toxicity.train_toxicity(table(spark, tmp_path, "documents"), table(spark, tmp_path, "labels"))
+    scores = model.scores([text for _, text, _ in entries])
+    clean = [e for e, score in zip(entries, scores, strict=True) if score < TOXIC]
+    lined = plain_lines(clean, MIN_SITES, 1)
+    alone = {i for i, _, _, kept in brute_force([(i, text) for i, text, _ in lined], 5, 80) if kept}
+    kept = [d for d in lined if d[0] in alone]
+    docs = plain_lines(kept, PASSAGE_SITES, PASSAGE_WORDS)
+    # Every stage has something to do.
+    assert 100 < len(clean) < 180 and sum(a != b for a, b in zip(clean, lined, strict=True)) > 40
+    assert len(clean) - len(kept) > 10 and sum(a != b for a, b in zip(kept, docs, strict=True)) >= 3
+
+    frame = pd.DataFrame([(i, text, "en", source, len(text)) for i, text, source in docs], columns=["doc_id", "text", "lang", "source", "n_chars"])
+    con = duckdb.connect()
+    con.register("documents", frame)
+    mixed = con.execute(f"SELECT doc_id, text, source FROM ({mixing.mix_sql(MIX_WEIGHTS)})").fetchall()
+    library = pieces.model_of(open(PIECE_MODEL, "rb").read()).library
+
+    def digests(text):
+        ids = library.encode(text, add_bos=True, add_eos=True)
+        return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+    expected = sorted((i, source, *digests(text)) for i, text, source in mixed)
+    found = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert sorted(map(tuple, found.collect())) == expected
