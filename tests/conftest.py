@@ -8,17 +8,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallyline.session import local_session  # noqa: E402
-
-LEDGER = (
-    "entry_id string, payment_id string, merchant_id string, entry_type string, "
-    "amount_paise bigint, currency string, entry_ts timestamp_ntz, method string"
-)
-SETTLEMENT = (
-    "utr string, payment_id string, merchant_id string, gross_paise bigint, fee_paise bigint, "
-    "tax_paise bigint, net_paise bigint, captured_on date, settled_on date, remarks string"
-)
+from helpers import LEDGER, SETTLEMENT  # noqa: E402
 
+from tallyline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
@@ -53,8 +45,3 @@ def settlement(spark):
         return spark.createDataFrame(data, SETTLEMENT)
 
     return make
-
-
-def rows(df, *columns):
-    """Rows as a set of tuples."""
-    return {tuple(r) for r in (df.select(*columns) if columns else df).collect()}

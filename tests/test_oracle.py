@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from helpers import rows
 from oracle_compare import connect, difference
 
 import __spark_entry__ as entry_module

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tallyline.functions import values as v
 from tallyline.operators import carry, compare, quality

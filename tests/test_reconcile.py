@@ -4,7 +4,7 @@ import random
 from datetime import datetime
 
 import pytest
-from conftest import LEDGER, SETTLEMENT, rows
+from helpers import LEDGER, SETTLEMENT, rows
 from pyspark.sql import functions as F
 
 from tallyline.functions import values as v

@@ -5,7 +5,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import glob
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 import jobs
 from tallyline import fixtures as fx
