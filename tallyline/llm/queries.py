@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from tallyline.llm.common import table
+from tallyline.llm.contamination import contamination_sql, find_benchmark
 from tallyline.llm.embedding_dups import embedding_duplicates
+from tallyline.llm.hard_negatives import NEGATIVE_SQL, hard_negatives
 from tallyline.llm.licenses import license_sql, scan_licenses
 from tallyline.llm.lines import line_sql, remove_shared_lines
 from tallyline.llm.minhash import near_duplicates
@@ -16,9 +18,10 @@ from tallyline.llm.mixing import mix_sources, mix_sql
 from tallyline.llm.pages import extract_text
 from tallyline.llm.pieces import digest_pieces
 from tallyline.llm.posting_lists import nearest_neighbours
-from tallyline.llm.settings import END_ID, MIN_SITES, MIX_WEIGHTS, PIECE_MODEL, TOXIC, WORD_TOKENIZER
+from tallyline.llm.settings import END_ID, LEAK_WORDS, MIN_SITES, MIX_WEIGHTS, PIECE_MODEL, TOXIC, WORD_TOKENIZER
 from tallyline.llm.token_files import read_token_files, write_token_files
 from tallyline.llm.toxicity import held_out, score_toxicity, train_toxicity
+from tallyline.llm.whitening import per_component, whiten
 from tallyline.session import scratch_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +98,33 @@ def op8_toxicity(spark, sf):
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
 
 
+@query
+def op11_hard_negatives(spark, sf):
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf, "embeddings").withColumn("label", relabelled), anchor_every=100)
+
+
+LLM_ORACLE["op11_hard_negatives"] = NEGATIVE_SQL
+
+
+@query
+def op12_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = find_benchmark(docs, table(spark, sf, "benchmark"), LEAK_WORDS)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
+LLM_ORACLE["op12_decontamination"] = contamination_sql(LEAK_WORDS)
+
+
+@query
+def op13_whitening(spark, sf):
+    return per_component(whiten(table(spark, sf, "embeddings").select("vec_id", "embedding"), components=32), "vec_id")
+
+
 @query
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)

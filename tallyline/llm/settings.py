@@ -11,3 +11,4 @@ MIX_WEIGHTS = {"src0": 2.0}  # every other source has weight 1
 MIN_SITES = 10
 PASSAGE_SITES, PASSAGE_WORDS = 3, 30
 TOXIC = 0.5
+LEAK_WORDS = 10

@@ -33,3 +33,18 @@ def unit(rows: np.ndarray) -> np.ndarray:
     """Rows at length 1; scaled first, so that squares of very large or small numbers stay finite."""
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def has_numbers(column: str) -> Column:
+    """Not null or empty, without null or non-finite components; zeros count as numbers."""
+    values = F.col(column).cast("array<double>")
+    finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return F.coalesce((F.size(values) > 0) & finite, F.lit(False))
+
+
+def whole_numbers(column: pa.ChunkedArray | pa.Array, scale: float) -> np.ndarray:
+    """``floor(scale * component)`` of equally long vectors as 64-bit integers; larger ones are an error."""
+    scaled = np.floor(matrix(column) * scale)
+    if len(scaled) and np.abs(scaled).max() >= 2.0**63:
+        raise OverflowError("a component does not fit into 64 bits")
+    return scaled.astype(np.int64)
