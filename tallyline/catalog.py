@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyline import fixtures as fx
 from tallyline.functions import values as v
-from tallyline.operators import baskets, carry, compare, orders, quality, reports, rollups, sellers
+from tallyline.operators import baskets, carry, compare, digests, orders, quality, reports, rollups, sellers
 from tallyline.operators import staging as stage
 from tallyline.operators.matching import classify_differences, match_figures, match_payments
-from tallyline.plans import checks, reconcile
-from tallyline.plans.sellers import seller_history
+from tallyline.plans import checks, open_items, reconcile
+from tallyline.plans.sellers import add_snapshots, rebuild_history, seller_history
 from tallyline.schemas import SETTLEMENT
 from tallyline.session import scratch_folder, written
-from tallyline.sources import tables
+from tallyline.sources import daily_state, tables
 from tallyline.sources.csv_files import read_csv, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +120,21 @@ def backfill_day(spark, sf):
     return tables.daily_fact(spark, fact)
 
 
+@query
+def backfill_from_state(spark, sf):
+    """The doubled day again, repaired from the state of the batches instead of their rows."""
+    table, day_file, fact = _orders_with_rerun(spark, sf)
+    daily_state.build_state(spark, table, fact)
+    daily_state.backfill_from_state(spark, day_file, fx.RERUN_DAY, table, fact)
+    return tables.daily_fact(spark, fact)
+
+
+@query
+def daily_orders_from_state(spark, sf):
+    """The fact merged from state per batch, with one day present twice."""
+    return daily_state.fact_of(daily_state.batch_state(_rerun_rows(spark, sf)))
+
+
 @query
 def export_csv(spark, sf):
     """The seller snapshot written as a CSV result and read back."""
@@ -160,6 +176,13 @@ def compare_results(spark, sf):
     return compare.compare_results(before, daily_orders(spark, sf), ["order_date"], figures)
 
 
+@query
+def compare_by_digests(spark, sf):
+    figures = ["order_rows", "orders", "delivered_revenue_paise"]
+    before = orders.daily_orders(_rerun_rows(spark, sf))
+    return digests.compare_by_digests(before, daily_orders(spark, sf), ["order_date"], figures)
+
+
 # Sellers
 
 
@@ -196,6 +219,29 @@ def dim_sellers_history_replayed(spark, sf):
     return seller_history([first, stg_sellers_curr(spark, sf), _sellers_next(spark, sf), first])
 
 
+def _sellers_between(spark, sf):
+    """An export between the second and the third: every seventh seller is elsewhere for its time, others are missing."""
+    number = F.substring("seller_id", 2, 18).cast("bigint") % 10
+    rows = stg_sellers_curr(spark, sf).where(number != 4)
+    state = F.when(number == 7, "ELSEWHERE").otherwise(F.col("state"))
+    return rows.withColumn("snapshot_date", F.lit(fx.LATE_SNAPSHOT).cast("date")).withColumn("state", state)
+
+
+@query
+def dim_sellers_history_late(spark, sf):
+    """Four exports, of which the earlier ones come late and one comes twice: the history is that of their dates."""
+    folder = scratch_folder(spark, "sellers")
+    exports = {
+        fx.NEXT_SNAPSHOT: _sellers_next(spark, sf),
+        fx.PREV_SNAPSHOT: stg_sellers_prev(spark, sf),
+        fx.CURR_SNAPSHOT: stg_sellers_curr(spark, sf),
+    }
+    add_snapshots(spark, folder, exports)
+    rebuild_history(spark, folder)
+    add_snapshots(spark, folder, {fx.LATE_SNAPSHOT: _sellers_between(spark, sf), fx.PREV_SNAPSHOT: stg_sellers_prev(spark, sf)})
+    return rebuild_history(spark, folder)
+
+
 @query
 def fct_orders_asof(spark, sf):
     return sellers.orders_as_of(stg_seller_orders(spark, sf), dim_sellers_history(spark, sf))
@@ -293,6 +339,34 @@ def carry_forward(spark, sf):
     return carry.carry_forward(opened, today, fx.NEXT_DAY)
 
 
+CHAIN = ["2025-09-15", "2025-09-16", "2025-09-17", "2025-09-18", "2025-09-19"]
+
+
+def _chain_days(spark, sf, folder):
+    """Differences of five days: late captures arrive on the second, third and fifth, nothing happens on the fourth."""
+    first = written(_difference_figures(spark, sf), f"{folder}/first")
+    columns = ["payment_id", "merchant_id", "cause", "difference_paise"]
+    number = F.substring("payment_id", 5, 12).cast("bigint")
+    late = first.where(F.col("cause") == v.AFTER_CUTOFF)
+    arrived = late.select("payment_id", "merchant_id", F.lit(v.PRIOR_DAY_CAPTURE).alias("cause"), (-F.col("difference_paise")).alias("difference_paise"))
+    days = [arrived.where(number % 7 >= 2), arrived.where(number % 7 == 1), first.limit(0), arrived.where((number % 7 == 0) & (number % 2 == 0))]
+    return [df.select(*columns) for df in (first, *days)], number
+
+
+@query
+def open_items_replayed(spark, sf):
+    """Five days, of which the second one is delivered in part first and then rerun: later days follow."""
+    folder = scratch_folder(spark, "chain")
+    days, number = _chain_days(spark, sf, folder)
+    for day, differences in zip(CHAIN, days, strict=True):
+        open_items.close_day(spark, folder, day, differences.where(number % 7 < 5) if day == CHAIN[1] else differences)
+    open_items.close_day(spark, folder, CHAIN[1], days[1])
+    return reduce(
+        DataFrame.unionByName,
+        [open_items.open_items_of(spark, folder, day).withColumn("business_day", F.lit(day).cast("date")) for day in CHAIN],
+    )
+
+
 @query
 def carry_summary(spark, sf):
     return carry.carry_summary(carry_forward(spark, sf))

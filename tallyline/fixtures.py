@@ -16,6 +16,7 @@ CUTOFF = "2025-09-15 18:00:00"
 NEXT_CUTOFF = "2025-09-16 18:00:00"
 PREV_SNAPSHOT = "1998-01-01"
 CURR_SNAPSHOT = "1998-06-01"
+LATE_SNAPSHOT = "1998-07-15"
 NEXT_SNAPSHOT = "1998-09-01"
 RERUN_DAY = "2024-01-10"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyline.functions.times import date_literal
 
@@ -116,6 +116,38 @@ def apply_snapshot(
     return joined.select(F.explode(versions).alias("v")).select("v.*")
 
 
+def history_of(snapshots: DataFrame, history_columns: tuple[str, ...] = HISTORY_COLUMNS) -> DataFrame:
+    """The dimension with history over any number of stacked snapshots, in whatever order they came.
+
+    One shuffle by seller: a seller's rows in the order of their dates fall into runs of equal history
+    columns, and each run is a version. An export that lies between two others splits the version it
+    falls into if it says something else. The remaining columns are those of the last export that names the
+    seller. Rows that repeat a seller and date count once, the greatest of them (nulls least); rows
+    without a seller or date are left out.
+    """
+    named = snapshots.where(F.col("seller_id").isNotNull() & F.col("snapshot_date").isNotNull())
+    once = named.groupBy("seller_id", "snapshot_date").agg(F.max(F.struct(*ATTRIBUTES)).alias("a")).select("seller_id", "snapshot_date", "a.*")
+    dated = Window.partitionBy("seller_id").orderBy("snapshot_date")
+    whole = dated.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    opens = F.row_number().over(dated) == 1
+    for name in history_columns:
+        opens = opens | ~F.col(name).eqNullSafe(F.lag(name).over(dated))
+    overwritten = {name: F.last(name).over(whole) for name in ATTRIBUTES if name not in history_columns}
+    marked = once.select(
+        "seller_id", "snapshot_date", *(overwritten.get(name, F.col(name)).alias(name) for name in ATTRIBUTES),
+        opens.alias("opens"), (F.row_number().over(dated) == 1).alias("is_first"), F.max("snapshot_date").over(whole).alias("last_snapshot"),
+    )
+    following = F.lead("snapshot_date").over(dated)
+    return marked.where("opens").select(
+        "seller_id",
+        *ATTRIBUTES,
+        F.when(F.col("is_first"), date_literal(BEGINNING)).otherwise(F.col("snapshot_date")).alias("valid_from"),
+        F.coalesce(following, date_literal(END_OF_TIME)).alias("valid_to"),
+        following.isNull().alias("is_current"),
+        "last_snapshot",
+    )
+
+
 def orders_as_of(orders: DataFrame, history: DataFrame) -> DataFrame:
     """Each order with the category its seller had on the order date.
 

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from tallyline.functions.times import date_literal
 from tallyline.operators import quality
-from tallyline.operators.carry import carry_forward, still_open
 from tallyline.operators.matching import classify_differences, match_figures, match_payments
 from tallyline.operators.reports import category_summary, reconciliation_report, unmatched_sample
 from tallyline.operators.rollups import ledger_by_payment, lists_of_few, settlement_by_payment
 from tallyline.plans.checks import assert_checks
+from tallyline.plans.open_items import mark_due, open_items_of, replay
 from tallyline.session import scratch_folder, written
 from tallyline.sources.partitions import replace_partition
 
@@ -40,19 +39,6 @@ def sample_day(ledger: DataFrame, settlement: DataFrame, per_category: int = 10)
     return lists_of_few(few, settlement).orderBy("category", "rn")
 
 
-def _left_open(spark: SparkSession, folder: str, day: date | str) -> DataFrame:
-    """The items that the last stored business day before ``day`` left open; none on the first day."""
-    try:
-        table = spark.read.parquet(f"{folder}/open_items").where(F.col("business_day") < date_literal(day))
-    except AnalysisException:  # nothing is stored yet
-        return spark.createDataFrame([], OPEN_ITEM_TYPE)
-    last = table.agg(F.max("business_day")).scalar()
-    return still_open(table.where(F.col("business_day") == last))
-
-
-OPEN_ITEM_TYPE = "payment_id string, merchant_id string, opened_on date, cause string, difference_paise bigint"
-
-
 def reconcile_day(
     ledger: DataFrame, settlement: DataFrame, cutoff: datetime | str, day: date | str, folder: str
 ) -> dict[str, DataFrame]:
@@ -60,8 +46,11 @@ def reconcile_day(
 
     The rollups and the match are written once and read by everything after them. Each table
     has one partition per business day. The checks run on the stored rows, the input checks
-    before the match; a failed one raises and names its rows.
+    before the match; a failed one raises and names its rows. Open items of later days that are
+    stored already follow from the new ones.
     """
+    spark = ledger.sparkSession
+
     def stored(df: DataFrame, name: str) -> DataFrame:
         table, business_day = f"{folder}/{name}", date_literal(day)
         replace_partition(df, table, "business_day", str(day), business_day)
@@ -78,10 +67,12 @@ def reconcile_day(
         tables[name] = stored(rollup, name)
     ours, bank = tables["ledger_by_payment"], tables["settlement_by_payment"]
     matched = stored(match_payments(ours, bank), "matched")
+    mark_due(spark, folder, day)
     differences = stored(classify_differences(matched, cutoff, day), "differences")
     summary = stored(category_summary(matched), "category_summary")
     tables |= {"matched": matched, "differences": differences, "category_summary": summary}
-    tables["open_items"] = stored(carry_forward(_left_open(ledger.sparkSession, folder, day), differences, day), "open_items")
+    replay(spark, folder)
+    tables["open_items"] = open_items_of(spark, folder, day)
     tables["reconciliation_report"] = stored(reconciliation_report(differences), "reconciliation_report")
 
     assert_checks({name: tables[name] for name in ("ledger_by_payment", "settlement_by_payment", "matched", "differences")})
