@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +18,9 @@ from tallyline.schemas import SETTLEMENT
 from tallyline.session import scratch_folder, written
 from tallyline.sources import daily_state, tables
 from tallyline.sources.csv_files import read_csv, write_csv
+from tallyline.streaming import deliveries
+from tallyline.streaming.orders import stream_orders as stream_orders_of
+from tallyline.streaming.orders import streamed_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +123,42 @@ def backfill_day(spark, sf):
     return tables.daily_fact(spark, fact)
 
 
+@query
+def stream_orders(spark, sf):
+    """The daily files as a stream of rows, stopped and started again; one file comes twice, the second time to no effect."""
+    folder = scratch_folder(spark, "stream")
+    raw = fx.raw_daily_orders(spark, sf).withColumnRenamed("batch_day", "file_day")
+    early = F.col("file_day") <= F.lit(fx.RERUN_DAY).cast("date")
+    run = partial(
+        stream_orders_of, spark, f"{folder}/files", f"{folder}/orders", f"{folder}/checkpoint", f"{folder}/rejects",
+        day_in_path=FILE_DAY, files_at_once=1000,
+    )
+    write_csv(raw.where(early), f"{folder}/files", partition_by="file_day")
+    run().awaitTermination()
+    again = raw.where(~early).unionByName(raw.where(F.col("file_day") == F.lit(fx.RERUN_DAY).cast("date")))
+    write_csv(again, f"{folder}/files", mode="append", partition_by="file_day")
+    run().awaitTermination()
+    return stage.stage_daily_orders(streamed_orders(spark, f"{folder}/orders"))
+
+
+@query
+def take_deliveries(spark, sf):
+    """All daily files, of which one is cut short first and delivered again whole: the fact in the end."""
+    folder = scratch_folder(spark, "deliveries")
+    table, fact = f"{folder}/orders", f"{folder}/fact"
+    raw = fx.raw_daily_orders(spark, sf)
+    day = F.lit(fx.RERUN_DAY).cast("date")
+    others = raw.where(F.col("batch_day") != day)
+    others.write.partitionBy("batch_day").parquet(table)
+    others.select("order_date", "batch_day").distinct().write.partitionBy("batch_day").parquet(f"{table}_dates")
+    tables.rebuild_daily_fact(spark, table, fact)
+    rows = raw.where(F.col("batch_day") == day).withColumnRenamed("batch_day", "file_day").coalesce(1)
+    for part in (rows.where(F.substring("order_id", 3, 18).cast("bigint") % 2 == 0), rows):
+        write_csv(part, f"{folder}/files", mode="overwrite", partition_by="file_day")
+        deliveries.take_deliveries(spark, f"{folder}/files", table, fact, f"{folder}/manifest", day_in_path=FILE_DAY)
+    return tables.daily_fact(spark, fact)
+
+
 @query
 def backfill_from_state(spark, sf):
     """The doubled day again, repaired from the state of the batches instead of their rows."""

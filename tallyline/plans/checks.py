@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tallyline.functions.values import CATEGORIES, CAUSES
-from tallyline.operators.quality import assert_empty, repeated_keys
+from tallyline.operators.quality import assert_empty
 
 
 @dataclass(frozen=True)
@@ -38,39 +38,37 @@ CHECKS = {
 
 
 def table_results(df: DataFrame, table: str, checks: TableChecks) -> DataFrame:
-    """One row per check of a table with the number of failures, 0 for a pass.
+    """One row per check of a table with the number of failures, 0 for a pass, from one scan of the table.
 
-    All NULL and closed-set checks share one pass; each unique check is one combining
-    aggregate that yields the number of repeated keys.
+    The values of all unique columns are stacked as text under their column's number and counted by one
+    combining aggregate; the NULL and closed-set checks ride along with the first of them.
     """
-    counted = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in checks.not_null]
-    counted += [
-        (c, "accepted_values", F.count_if(~F.col(c).isin(allowed)))
-        for c, allowed in checks.accepted.items()
-    ]
-    results = []
-    if counted:
-        row = df.agg(*(expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(counted)))
-        per_check = [
-            F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"), F.col(f"c{i}").alias("failures"))
-            for i, (c, kind, _) in enumerate(counted)
-        ]
-        results.append(row.select(F.inline(F.array(*per_check))))
-    for column in checks.unique:
-        repeated = repeated_keys(df, column).agg(F.count(F.lit(1)).alias("failures"))
-        results.append(
-            repeated.select(
-                F.lit(column).alias("column_name"), F.lit("unique").alias("check_name"), "failures"
-            )
+    flags = [(c, "not_null", F.col(c).isNull()) for c in checks.not_null]
+    flags += [(c, "accepted_values", F.coalesce(~F.col(c).isin(allowed), F.lit(False))) for c, allowed in checks.accepted.items()]
+    sums = [f"f{i}" for i in range(len(flags))]
+    values = [F.col(c).cast("string").alias(f"u{i}") for i, c in enumerate(checks.unique)]
+    rows = df.select(*values, *[f.cast("bigint").alias(name) for name, (*_, f) in zip(sums, flags, strict=True)])
+    results = [(c, kind, F.sum(name)) for name, (c, kind, _) in zip(sums, flags, strict=True)]
+    if checks.unique:
+        number, first = F.col("number"), F.col("number") == 0
+        stacked = rows.select(F.posexplode(F.array(*[f"u{i}" for i in range(len(checks.unique))])).alias("number", "value"), *sums)
+        rows = stacked.groupBy("number", "value").agg(
+            F.count(F.lit(1)).alias("rows_"), *[F.sum(F.when(first, F.col(name))).alias(name) for name in sums]
         )
-    union = reduce(DataFrame.unionByName, results)
-    return union.select(F.lit(table).alias("table_name"), "*")
+        repeated = F.col("value").isNotNull() & (F.col("rows_") > 1)
+        results += [(c, "unique", F.count_if(repeated & (number == i))) for i, c in enumerate(checks.unique)]
+    row = rows.agg(*[F.coalesce(found, F.lit(0)).cast("bigint").alias(f"c{i}") for i, (*_, found) in enumerate(results)])
+    per_check = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"), F.col(f"c{i}").alias("failures"))
+        for i, (c, kind, _) in enumerate(results)
+    ]
+    return row.select(F.lit(table).alias("table_name"), F.inline(F.array(*per_check)))
 
 
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Results of every check that concerns one of the tables.
 
-    Give it stored tables: each check reads its table again.
+    Give it stored tables where they are costly to compute: each is read once.
     """
     return reduce(
         DataFrame.unionByName,

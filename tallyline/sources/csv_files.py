@@ -33,10 +33,13 @@ def header_of(spark: SparkSession, path: str, **options: str) -> list[str]:
     return spark.read.options(**READ_OPTIONS, **options).csv(path).columns
 
 
-def typed_reader(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrameReader:
+def typed_reader(
+    spark: SparkSession, path: str, schema: StructType, keep_corrupt: str | None = None, **options: str
+) -> DataFrameReader:
     """A reader whose types follow the header's order, so nothing is inferred.
 
-    A file may order the declared columns differently or carry more; a missing one is an error.
+    A file may order the declared columns differently or carry more; a missing one is an error. With
+    ``keep_corrupt`` a line that does not fit is a row with its text in the column of that name.
     """
     header = header_of(spark, path, **options)
     missing = [name for name in schema.names if name not in header]
@@ -45,7 +48,11 @@ def typed_reader(spark: SparkSession, path: str, schema: StructType, **options:
     in_file_order = StructType(
         [schema[n] if n in schema.names else StructField(n, StringType()) for n in header]
     )
-    return spark.read.schema(in_file_order).options(**READ_OPTIONS, **options)
+    options = READ_OPTIONS | options
+    if keep_corrupt:
+        in_file_order = in_file_order.add(keep_corrupt, StringType())
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": keep_corrupt}
+    return spark.read.schema(in_file_order).options(**options)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = False, **options: str) -> DataFrame:

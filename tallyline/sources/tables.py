@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tallyline.functions.times import date_literal
 from tallyline.operators.orders import daily_orders
@@ -15,10 +16,13 @@ from tallyline.operators.quality import assert_empty, null_counts
 from tallyline.schemas import DAILY_ORDERS
 from tallyline.sources.csv_files import header_of, read_csv, typed_reader
 from tallyline.sources.partitions import counted, empty_partition, replace_partition, replace_partitions
+from tallyline.sources.split_csv import read_split_csv
 
 BATCHED_ORDERS = StructType([*DAILY_ORDERS.fields, StructField("batch_day", DateType())])
 
 DATES = "order_date date, batch_day date"
+CORRUPT = "corrupt_line"
+HEADERS_AT_ONCE = 16
 
 # The daily file name, and the columns the daily orders must not leave empty.
 DAY_IN_PATH = r"orders_(\d{4}-\d{2}-\d{2})\.csv"
@@ -29,6 +33,10 @@ class EmptyDelivery(ValueError):
     """A day's file holds no rows, and dropping the day was not asked for."""
 
 
+class MalformedDelivery(ValueError):
+    """A day's file holds lines that don't fit the declared columns."""
+
+
 @dataclass(frozen=True)
 class Loaded:
     """Rows read from the files, and rows the table now holds for the same scope."""
@@ -41,10 +49,9 @@ def load_whole(spark: SparkSession, files: dict[str, tuple[str, StructType]], fo
     """Rebuild one table per file; returns the rows of each.
 
     Every file's header is read before the first table is touched, so a missing file stops the
-    load with all tables as they were. Quoted line breaks are read, which keeps a file in one
-    task: deliver a large table as a folder of files.
+    load with all tables as they were. Quoted line breaks are read, from large files by many tasks.
     """
-    frames = {name: read_csv(spark, path, schema, line_breaks=True) for name, (path, schema) in files.items()}
+    frames = {name: read_split_csv(spark, path, schema) for name, (path, schema) in files.items()}
     loaded = {}
     for name, frame in frames.items():
         rows, counter = counted(frame)
@@ -108,9 +115,10 @@ def read_days(spark: SparkSession, paths: str, day_in_path: str = DAY_IN_PATH) -
     Columns are taken by name, file by file: there is one scan for each order of columns that
     occurs. A path without a day fails the cast, a file that lacks a column the read.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in _file_paths(spark, paths):
-        by_header.setdefault(tuple(header_of(spark, path)), []).append(path)
+    found, by_header = _file_paths(spark, paths), {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:  # a header is the first line only, but a job of its own
+        for path, header in zip(found, pool.map(lambda path: tuple(header_of(spark, path)), found), strict=True):
+            by_header.setdefault(header, []).append(path)
     day = F.regexp_extract(F.col("_metadata.file_path"), day_in_path, 1).cast("date").alias("batch_day")
     scans = [
         typed_reader(spark, some[0], DAILY_ORDERS).csv(some).select(*DAILY_ORDERS.names, day)
@@ -145,12 +153,18 @@ def replace_day(
 
     The file is staged as Parquet beside the table and checked there; only then is the day's
     partition replaced, in the commit of one job. An empty file is refused, or empties the day
-    if allowed.
+    if allowed; a file with lines that don't fit the declared columns is refused and one of them named.
     """
     staging = f"{table}_staging/{day}"
-    rows, counter = counted(_read_day(spark, path, day))
+    with_corrupt = StructType([*DAILY_ORDERS.fields, StructField(CORRUPT, StringType())])
+    delivered = typed_reader(spark, path, DAILY_ORDERS, keep_corrupt=CORRUPT).csv(path).select(*with_corrupt.names)
+    rows, counter = counted(delivered.withColumn("batch_day", date_literal(day)))
     rows.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(BATCHED_ORDERS).parquet(staging)
+    staged = spark.read.schema(StructType([*with_corrupt.fields, *BATCHED_ORDERS.fields[-1:]])).parquet(staging)
+    malformed = staged.where(F.col(CORRUPT).isNotNull()).select(CORRUPT).take(1)
+    if malformed:
+        raise MalformedDelivery(f"MALFORMED_RECORD in {path}: {malformed[0][0][:500]}")
+    staged = staged.drop(CORRUPT)
     rows_read = counter.get["rows"]
     if rows_read == 0 and not allow_empty:
         raise EmptyDelivery(f"{path} holds no rows; the table keeps its rows of {day}")

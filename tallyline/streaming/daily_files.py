@@ -15,11 +15,11 @@ def stream_daily_files(
 
     A micro-batch only lists which days have something new; file contents are not read by it. Each such day is read whole from its
     file and replaced, so neither a retried batch nor a file split over two batches doubles or
-    loses a row. A file delivered again under the same name is not new to the stream: rerun its
-    day with ``backfill_day``.
+    loses a row. A file delivered again under the same name is not new to the stream:
+    ``deliveries.take_deliveries`` finds it, ``backfill_day`` reruns its day.
 
-    Without ``rejects`` a file that names no day, holds no rows or fails its checks stops the stream, now
-    and at every restart. With it such files are noted there (batch, path, reason) and the others
+    Without ``rejects`` a file that names no day, holds no rows or lines that don't fit, or fails its checks stops
+    the stream, now and at every restart. With it such files are noted there (batch, path, reason) and the others
     go on; their days keep what they had.
     """
 
