@@ -29,16 +29,19 @@ DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 BLOCK_DOCS, BLOCK_BYTES = 512, 4 << 20
 KNOWN_WORDS = 300_000
-WORDS_A_CALL = 1000
 
 # Texts with other white space than this, or with control characters that one library splits at and
 # the other does not, go to the tokenizer whole; so do texts that may hold a special token.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\\|")
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e\u0180-\u01bf\u01cd-\u024f"
 SIGNS = "\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7\u2010-\u2027\u2030-\u205e"
-SIMPLE = re.compile(f"[\\s\x21-\x7e{LETTERS}{SIGNS}]+")
+SIMPLE = re.compile(f"[\t-\r\x20-\x7e{LETTERS}{SIGNS}]*")
 # The tokenizer file's own split pattern, for the characters of SIMPLE.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
+# Bytes as characters, as byte-level tokenizers write them: printable ones stand for themselves, the others
+# in their order for the characters from 256 on.
+PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_NAMES = {byte: 256 + n for n, byte in enumerate(sorted(set(range(256)) - set(PRINTED)))}
 RAW = "\0"  # marks a chunk that is not split further here
 
 
@@ -46,8 +49,8 @@ class IdEncoder:
     """Ids as the tokenizers library gives them, with a bounded table of known words.
 
     The tokenizer drops white space and encodes word by word, so that a text's ids are those of its
-    words. Unknown words go to the library many at a time, in one text: the last id of each word is
-    marked in the vocabulary. Chunks with other characters than the common ones go to it as they are.
+    words. Words of common characters are split and lower-cased here, and unknown ones go to the library's
+    model alone. Chunks with other characters go to the library as they are.
     """
 
     def __init__(self, tokenizer: bytes):
@@ -55,33 +58,24 @@ class IdEncoder:
 
         self.library = Tokenizer.from_buffer(tokenizer)
         settings = json.loads(tokenizer)
-        suffix = settings["model"]["end_of_word_suffix"]
-        if not suffix or settings["normalizer"]["normalizers"][-1]["type"] != "Lowercase":
-            raise ValueError("only tokenizers with word ends and lower case are supported")
-        vocabulary = settings["model"]["vocab"]
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        steps = [step["type"] for step in settings["normalizer"]["normalizers"]]
+        splits = [step["type"] for step in settings["pre_tokenizer"]["pretokenizers"]]
+        if steps != ["NFC", "Replace", "Lowercase"] or splits != ["Split", "ByteLevel"]:
+            raise ValueError("only byte-level tokenizers of lower-cased words are supported")
+        self.model = self.library.model
         self.known: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
-        for start in range(0, len(words), WORDS_A_CALL):
-            some = words[start : start + WORDS_A_CALL]
-            ids = self._encode(" ".join(some))
-            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
-            if len(ends) != len(some):
-                raise ValueError("the tokenizer splits words otherwise than expected")
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(some, ends.tolist(), strict=True):
-                self.known[word] = data[begin:end]
-                begin = end
+        """Words are lower-cased and split as the tokenizer does it, so that its model alone is asked."""
+        for word in words:
+            named = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_NAMES)
+            self.known[word] = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(named)])
 
     @staticmethod
     def split(text: str) -> list[str]:
-        if SIMPLE.fullmatch(text):
-            return WORDS.findall(text.lower())
         chunks = text.split()
         return [w for c in chunks for w in (WORDS.findall(c.lower()) if SIMPLE.fullmatch(c) else (RAW + c,))]
 
@@ -92,7 +86,9 @@ class IdEncoder:
         words: list[str] = []
         ends, whole = [], {}
         for at, text in enumerate(texts):
-            if ODD_SPACE.search(text) or RAW in text:
+            if SIMPLE.fullmatch(text) and "<|" not in text:  # most texts: one look at their characters is enough
+                words += WORDS.findall(text.lower())
+            elif ODD_SPACE.search(text) or RAW in text:
                 whole[at] = self._encode(text).tobytes()
             else:
                 words += self.split(text)
