@@ -25,12 +25,13 @@ def _lines_of(text: str) -> Column:
 
 def line_places(docs: DataFrame, site: str, doc_id: str, text: str, min_words: int = 1) -> DataFrame:
     """One row per line of at least ``min_words`` words: two hashes of the trimmed line, its document, its number."""
-    lines = docs.select(
+    rows = docs.select(  # what is the same for all lines of a text is computed before there are lines
         F.col(doc_id).alias("doc"),
         row_key(doc_id, text).alias("row_key"),
         F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("null")).alias("site"),
-        F.posexplode(_lines_of(text)).alias("line_no", "line"),
+        _lines_of(text).alias("lines"),
     )
+    lines = rows.select("doc", "row_key", "site", F.posexplode("lines").alias("line_no", "line"))
     line = F.btrim("line", F.lit(BLANK))
     hashes = F.xxhash64(line).alias("h1"), F.xxhash64(line, F.lit(1)).alias("h2")
     long = F.size(F.split(line, f"[{BLANK}]+")) >= min_words
@@ -84,14 +85,21 @@ def remove_shared_lines(
         .groupBy(F.col("row_key").alias("__hit_key"))
         .agg(F.collect_set("line_no").alias("__hit_lines"))
     )
-    lines = _lines_of(text)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__hit_lines"))
-    kept = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
+    # The lines are an array of one element around them, so that they are split once and not per line that stays.
+    kept = F.transform(
+        F.array(_lines_of(text)),
+        lambda lines: F.array_join(
+            F.transform(
+                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__hit_lines")), lambda i: F.get(lines, i)
+            ),
+            "\n",
+        ),
+    )
     return (
         docs.drop(removed)
         .withColumn("__row_key", row_key(doc_id, text))
         .join(hits, F.col("__row_key") == F.col("__hit_key"), "left")
-        .withColumn(text, F.when(F.col("__hit_lines").isNull(), F.col(text)).otherwise(kept))
+        .withColumn(text, F.when(F.col("__hit_lines").isNull(), F.col(text)).otherwise(F.get(kept, F.lit(0))))
         .withColumn(removed, F.coalesce(F.size("__hit_lines"), F.lit(0)).cast("bigint"))
         .drop("__row_key", "__hit_key", "__hit_lines")
     )
