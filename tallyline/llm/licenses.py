@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -153,43 +154,76 @@ def _words(spaced: Column) -> Column:
     return ((F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))) / 2).cast("bigint")
 
 
+BLOCK = 128
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, fold: Callable[[Column], Column], join: Callable[[Column, Column], Column]) -> Column:
+    """For each place of an array, ``fold`` of all values before it.
+
+    An array can't grow step by step without being copied each time. So blocks are folded first, then what
+    stands before each block, then what stands before each place in its block: ``BLOCK`` steps a place.
+    """
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+
+    def in_block(folds: Column, b: Column) -> Column:
+        places = F.sequence(F.lit(0), F.least(F.lit(BLOCK), F.size(values) - b * BLOCK) - 1)
+        return _let(
+            fold(F.slice(folds, F.lit(1), b)),
+            lambda base: F.transform(places, lambda j: join(base, fold(F.slice(values, b * BLOCK + 1, j)))),
+        )
+
+    folded = F.transform(blocks, lambda b: fold(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))))
+    return _let(folded, lambda folds: F.flatten(F.transform(blocks, lambda b: in_block(folds, b))))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, v: total + v)
+
+
+def _furthest(values: Column) -> Column:
+    return F.coalesce(F.array_max(values), F.lit(-1).cast("bigint"))
+
+
 def _matches(words: Column, rule: Column) -> Column:
-    """Intervals of words that a rule matches."""
+    """Intervals of words that a rule matches, in order: every second part of the marked words."""
     marked = F.regexp_replace(words, rule["pattern"], F.lit("\x01$0\x02"))
-    parts = F.split(marked, "[\x01\x02]")
-    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(False).alias("inside"), none.alias("found"))
-
-    def step(state: Column, part: Column) -> Column:
-        upto = state["at"] + _words(part)
-        found = F.when(
-            state["inside"], F.concat(state["found"], F.array(F.struct(state["at"].alias("a"), upto.alias("b"))))
-        ).otherwise(state["found"])
-        return F.struct(upto.alias("at"), (~state["inside"]).alias("inside"), found.alias("found"))
-
-    found = F.when(F.size(parts) > 1, F.aggregate(parts, start, step)["found"]).otherwise(none)
-    return F.transform(
-        found,
-        lambda m: F.struct(
-            m["a"].alias("first"), (-m["b"]).alias("minus_end"), rule["tier"].alias("tier"), rule["number"].alias("number"),
-            rule["label"].alias("label"), rule["base"].alias("base"),
-        ),
-    )
+
+    def intervals(sizes: Column, starts: Column) -> Column:
+        def detection(i: Column) -> Column:
+            first = F.get(starts, i)
+            return F.struct(
+                first.alias("first"), (-(first + F.get(sizes, i))).alias("minus_end"), rule["tier"].alias("tier"),
+                rule["number"].alias("number"), rule["label"].alias("label"), rule["base"].alias("base"),
+            )
+
+        return F.transform(F.sequence(F.lit(1), F.size(sizes) - 2, F.lit(2)), detection)
+
+    def found(parts: Column) -> Column:
+        some = _let(
+            F.transform(parts, _words), lambda sizes: _let(_before(sizes, _sum, lambda a, b: a + b), lambda starts: intervals(sizes, starts))
+        )
+        return F.when(F.size(parts) > 1, some).otherwise(F.array().cast(DETECTION_TYPE))
+
+    return _let(F.split(marked, "[\x01\x02]"), found)
 
 
 def _kept(detections: Column) -> Column:
-    """Detections, sorted by start and falling end, that no other suppresses."""
-    reach = F.array(*[F.lit(-1).cast("bigint")] * len(TIER_SCORES))
-    start = F.struct(reach.alias("reach"), F.filter(detections, lambda _: F.lit(False)).alias("kept"))
+    """Detections, sorted by start and falling end, that no earlier one of the same or a better tier reaches beyond."""
 
-    def step(state: Column, d: Column) -> Column:
-        upto = -d["minus_end"]
-        held = F.array_max(F.slice(state["reach"], F.lit(1), d["tier"])) >= upto
-        reach = F.transform(state["reach"], lambda r, i: F.when(i + 1 == d["tier"], F.greatest(r, upto)).otherwise(r))
-        kept = F.when(held, state["kept"]).otherwise(F.concat(state["kept"], F.array(d)))
-        return F.struct(reach.alias("reach"), kept.alias("kept"))
+    def of_tier(tier: int) -> Column:
+        """How far the detections of a tier or better reach that stand before each place."""
+        ends = F.transform(detections, lambda d: F.when(d["tier"] <= tier, -d["minus_end"]).otherwise(F.lit(-1).cast("bigint")))
+        return _let(ends, lambda e: _before(e, _furthest, lambda a, b: F.greatest(a, b)))
 
-    return F.aggregate(detections, start, step)["kept"]
+    reaches = F.array(*[of_tier(tier) for tier in range(1, len(TIER_SCORES) + 1)])
+    return _let(
+        reaches, lambda reach: F.filter(detections, lambda d, i: F.get(F.get(reach, d["tier"] - 1), i) < -d["minus_end"])
+    )
 
 
 def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
@@ -199,8 +233,8 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
     ``score``, that of the best tier, 0 without a detection.
 
     Null and empty texts have no words and no detections. Rows are independent; input columns of the
-    names above are replaced. A detection that a text holds n times costs n steps and n places in an
-    array of its row, however long the text.
+    names above are replaced. The detections of a text are an array of its row; their cost grows with their
+    number, not its square.
     """
     rules = [dict(zip(("label", "keyword", "pattern", "tier", "base", "number"), (*r, i), strict=True)) for i, r in enumerate(RULES)]
     all_rules = F.from_json(F.lit(json.dumps(rules)), RULE_TYPE)
@@ -231,6 +265,7 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+DETECTION_TYPE = "array<struct<first:bigint,minus_end:bigint,tier:int,number:int,label:string,base:boolean>>"
 FOUND_TYPE = "array<struct<label:string,tier:int,first:bigint,end:bigint>>"
 
 
