@@ -27,7 +27,8 @@ from tallyline.llm.hnsw import BATCH, Graph
 from tallyline.llm.vectors import is_vector, matrix, unit, usable_vectors
 
 SHARD_ROWS, LEAST_SHARDS = 50_000, 4
-BLOCK_ROWS = 16384
+BLOCK_ROWS = 65_536  # queries for which a shard is sent once
+CELLS_A_CORE = 8  # at least so many pairs of shard and block, so that tasks are even
 FIRST_BEAM = 64
 EXACT_SHARE = 16  # beams of a wider share of the centres than 1 in so many give way to all centres
 AUDITS, AUDIT_RECALL = 256, 0.99
@@ -216,7 +217,8 @@ def embedding_duplicates(
     linked = math.acos(cosine)
     rows = stored(usable_vectors(df, vec_id, embedding), "vectors")
     count = rows.count()
-    shards, blocks = max(LEAST_SHARDS, -(-count // shard_rows)), max(1, -(-count // BLOCK_ROWS))
+    shards = max(LEAST_SHARDS, -(-count // shard_rows))
+    blocks = max(1, -(-count // BLOCK_ROWS), -(-CELLS_A_CORE * df.sparkSession.sparkContext.defaultParallelism // shards))
     dealt = rows.withColumn("shard", F.pmod("row", F.lit(shards)).cast("int"))
 
     def gather(part: pa.Table) -> pa.Table:

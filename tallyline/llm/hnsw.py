@@ -10,10 +10,10 @@ from __future__ import annotations
 import numpy as np
 
 SCALE = 16
-LINKS, MOST_LINKS = 16, 32
+LINKS, MOST_LINKS = 32, 64
 BUILD_BEAM = 48
 BATCH = 1024
-AT_ONCE = 4  # nodes of a beam expanded in one step
+AT_ONCE, STEPS = 4, 16  # nodes of a beam expanded in one step: at least so many, and one in so many of its width
 
 
 class Layer:
@@ -40,9 +40,10 @@ class Layer:
         np.put_along_axis(seen, entries.astype(np.int64), True, axis=1)
         seen[:, self.none] = True
         active = np.arange(count)
+        at_once = min(width, max(AT_ONCE, width // STEPS))
         while len(active):
             open_scores = np.where(todo[active], scores[active], -np.inf)
-            picks = np.argpartition(-open_scores, min(AT_ONCE, width) - 1, axis=1)[:, :AT_ONCE]
+            picks = np.argpartition(-open_scores, at_once - 1, axis=1)[:, :at_once]
             has = np.isfinite(np.take_along_axis(open_scores, picks, axis=1))
             going = has.any(axis=1)
             active, picks, has = active[going], picks[going], has[going]
@@ -55,6 +56,8 @@ class Layer:
             near[:, 1:][near[:, 1:] == near[:, :-1]] = self.none
             near[seen[active[:, None], near]] = self.none
             seen[active[:, None], near] = True
+            near.sort(axis=1)  # what has been seen is the last number, so that fewer columns are left to score
+            near = near[:, : int((near != self.none).sum(axis=1).max())]
             all_nodes = np.concatenate([nodes[active], near], axis=1)
             all_scores = np.concatenate([scores[active], self.scores(queries[active], near)], axis=1)
             all_todo = np.concatenate([todo[active], near != self.none], axis=1)
