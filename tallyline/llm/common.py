@@ -19,6 +19,7 @@ import tallyline
 from tallyline.session import scratch_folder, written
 
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -28,7 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship_package(spark: SparkSession) -> None:
     """Lets the Python workers import this package, once per application: the driver serves a zip of
-    its code. Nothing is done where the package itself came in an archive that the workers have."""
+    its code. Nothing is done where the package itself came in an archive that the workers have.
+
+    Rows go to the workers in batches of about ``BATCH_BYTES``, if the session doesn't set another size: a
+    default batch of 10,000 whole texts takes a task tens of megabytes on either side."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(BATCH_BYTES))
     root = os.path.dirname(os.path.abspath(tallyline.__file__))
     application = spark.sparkContext.applicationId
     if application in _SHIPPED or not os.path.isdir(root):
