@@ -93,6 +93,7 @@ LABELLED = [
     (0, 0, 1, 0, 1, 1, 40, 1, 0, 0, 1), (0, 0, 1, 0, 2, 4, 30, 1, 0, 0.1, 1), (0, 0, 1, 0, 3, 2, 80, 1, 0, 0, 1),
     (0, 0, 0, 0, 0, 3, 0, 0, 0, 0, 1), (0, 0, 0, 0, 0, 4, 12, 0, 0, 0, 1), (0, 0, 0, 0, 12, 5, 30, 0, 0, 0, 1),
     (0, 0, 0, 0, 55, 38, 0, 0, 0, 0, 1), (0, 0, 0, 0, 40, 90, 0, 0, 0.1, 0, 1), (0, 0, 0, 0, 4, 33, 0, 0, 0, 0, 1),
+    (0, 0, 0, 0, 36, 1, 44, 0, 0, 0, 1), (0, 0, 0, 0, 60, 1, 30, 0, 0, 0, 1), (0, 0, 0, 0, 30, 3, 30, 0, 0, 0, 1),
     (0, 0, 0, 0, 70, 30, 3, 0, 0, 1, 1), (0, 0, 0, 0, 3, 60, 36, 1, 0, 0, 1), (0, 0, 0, 0, 20, 70, 1, 0, 0, 0, 1),
     # ... and what surrounds them
     (0, 0, 0, 0, 1, 1, 1, 1, 1, 0, 0), (0, 0, 0, 1, 2, 2, 4, 1, 1, 0, 0), (0, 0, 0, 0, 3, 2, 60, 1, 1, 0, 0),
