@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions.times import date_literal
 from tallyline.functions.values import AFTER_CUTOFF, LATE_REFUND, PRIOR_DAY_CAPTURE
@@ -21,9 +21,14 @@ def open_items(differences: DataFrame, day: date | str) -> DataFrame:
     return differences.where(F.col("cause").isin(CARRIED_CAUSES)).withColumn("opened_on", date_literal(day)).select(*OPEN_ITEM)
 
 
+def is_open() -> Column:
+    """Whether an item of a day is for the next one to reverse."""
+    return (F.col("status") != "closed") & F.col("cause").isin(CARRIED_CAUSES)
+
+
 def still_open(carried: DataFrame) -> DataFrame:
     """What a day leaves for the next one to reverse, in the shape ``carry_forward`` takes."""
-    return carried.where((F.col("status") != "closed") & F.col("cause").isin(CARRIED_CAUSES)).select(*OPEN_ITEM)
+    return carried.where(is_open()).select(*OPEN_ITEM)
 
 
 def carry_forward(opened: DataFrame, today: DataFrame, day: date | str) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallyline.functions.times import date_literal
-from tallyline.operators.carry import OPEN_ITEM, carry_forward, still_open
-from tallyline.operators.digests import digest_of
+from tallyline.operators.carry import OPEN_ITEM, carry_forward, is_open, still_open
+from tallyline.operators.digests import SEEDS, row_hash
 from tallyline.session import scratch_folder, written
 from tallyline.sources.partitions import replace_partition
 
@@ -48,9 +48,13 @@ def open_items_of(spark: SparkSession, folder: str, day: date | str) -> DataFram
 
 
 def known_days(spark: SparkSession, folder: str) -> dict[date, bool]:
-    """Every day of the chain and whether it is due; bounded by the calendar."""
-    stored = {row[0]: False for row in _days(spark, folder, "open_items", CARRIED_TYPE).select("business_day").distinct().collect()}
-    return dict(sorted((stored | {d: due for due, d in _days(spark, folder, "open_items_days", "due boolean").collect()}).items()))
+    """Every day of the chain and whether it is due; bounded by the calendar. Items that are stored without
+    marks, by an earlier version, give the days themselves."""
+    marks = {day: due for due, day in _days(spark, folder, "open_items_days", "due boolean").collect()}
+    if not marks:
+        days = _days(spark, folder, "open_items", CARRIED_TYPE).select("business_day").distinct()
+        marks = {row[0]: False for row in days.collect()}
+    return dict(sorted(marks.items()))
 
 
 def _mark(spark: SparkSession, folder: str, day: date | str, due: bool) -> None:
@@ -68,6 +72,18 @@ def mark_due(spark: SparkSession, folder: str, day: date | str) -> None:
     _mark(spark, folder, day, True)
 
 
+def _compared(items: DataFrame, before: DataFrame) -> tuple[bool, bool]:
+    """Whether a day's items differ from the stored ones, and whether what they leave open does."""
+    columns, kept = sorted(items.columns), sorted(OPEN_ITEM)
+    stays = F.lit("all"), F.when(is_open(), F.lit("open"))
+    sides = [df.withColumn("side", F.lit(i)).withColumn("part", F.explode(F.array_compact(F.array(*stays)))) for i, df in enumerate((items, before))]
+    hashes = [F.when(F.col("part") == "all", row_hash(columns, seed)).otherwise(row_hash(kept, seed)) for seed in SEEDS]
+    sums = [F.sum(h.cast("decimal(20,0)")).alias(f"h{i}") for i, h in enumerate(hashes)]
+    found = sides[0].unionByName(sides[1]).groupBy("side", "part").agg(F.count(F.lit(1)).alias("n"), *sums).collect()
+    digests = {(row["side"], row["part"]): tuple(row)[2:] for row in found}
+    return tuple(digests.get((0, part)) != digests.get((1, part)) for part in ("all", "open"))
+
+
 def replay(spark: SparkSession, folder: str) -> list[date]:
     """Bring every day that is due up to date, in order; returns the days whose items have changed.
 
@@ -83,8 +99,9 @@ def replay(spark: SparkSession, folder: str) -> list[date]:
         today = _of_day(_days(spark, folder, "differences", DIFFERENCE_TYPE), day)
         items = written(carry_forward(opened, today, day), scratch_folder(spark, "open-items"))
         before = open_items_of(spark, folder, day)
-        if digest_of(items) != digest_of(before):
-            if digest_of(still_open(items), OPEN_ITEM) != digest_of(still_open(before), OPEN_ITEM) and at + 1 < len(chain):
+        differ, open_differ = _compared(items, before)
+        if differ:
+            if open_differ and at + 1 < len(chain):
                 days[chain[at + 1]] = True
                 _mark(spark, folder, chain[at + 1], True)
             replace_partition(items, f"{folder}/open_items", "business_day", str(day), date_literal(day))
