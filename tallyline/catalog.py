@@ -16,7 +16,7 @@ from tallyline.plans import checks, open_items, reconcile
 from tallyline.plans.sellers import add_snapshots, rebuild_history, seller_history
 from tallyline.schemas import SETTLEMENT
 from tallyline.session import scratch_folder, written
-from tallyline.sources import daily_state, tables
+from tallyline.sources import bucketed, daily_state, tables
 from tallyline.sources.csv_files import read_csv, write_csv
 from tallyline.streaming import deliveries
 from tallyline.streaming.orders import stream_orders as stream_orders_of
@@ -315,6 +315,18 @@ def matched(spark, sf):
     return reconcile.match_day(stg_ledger(spark, sf), stg_settlement(spark, sf))
 
 
+ROLLUP_BUCKETS = 16
+
+
+@query
+def matched_stored(spark, sf):
+    """The match over stored rollups whose buckets meet without a shuffle."""
+    folder = scratch_folder(spark, "rollups")
+    ours = bucketed.store_buckets(ledger_by_payment(spark, sf), f"{folder}/ledger", "payment_id", ROLLUP_BUCKETS)
+    bank = bucketed.store_buckets(settlement_by_payment(spark, sf), f"{folder}/settlement", "payment_id", ROLLUP_BUCKETS)
+    return match_payments(ours, bank)
+
+
 def _match_figures(spark, sf):
     return match_figures(stg_ledger(spark, sf), stg_settlement(spark, sf))
 

@@ -7,14 +7,19 @@ import re
 import pytest
 
 from tallyline.catalog import QUERIES
+from tallyline.operators import rollups
 from tallyline.operators.matching import match_payments
 from tallyline.operators.reports import unmatched_sample
 from tallyline.operators.rollups import ledger_by_payment
+from tallyline.sources import bucketed
 from tallyline.sources.partitions import replace_partitions
 from tallyline.sources.tables import orders_table
 
 SMALL = "/root/testdata/sf0.001"
-ACTING = {"load_whole", "load_all_days", "load_day_append", "backfill_day", "export_csv", "check_all", "unmatched_sample", "product_pairs"}
+ACTING = set(
+    """load_whole load_all_days load_day_append backfill_day export_csv check_all unmatched_sample product_pairs backfill_from_state
+    take_deliveries stream_orders open_items_replayed dim_sellers_history_late matched_stored""".split()
+)
 
 
 def plan(df) -> str:
@@ -77,3 +82,16 @@ def test_day_and_date_filters_reach_the_scan(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[isnotnull\(batch_day#\d+\), \(batch_day#\d+ = ", plan(day))
     dates = orders_table(spark, table).where("order_date in (date'2024-01-09', date'2024-01-10')")
     assert "PushedFilters: [In(order_date" in plan(dates)
+
+
+def test_rollups_in_buckets_meet_without_a_shuffle(spark, ledger, settlement, tmp_path):
+    ours = rollups.ledger_by_payment(ledger(*((f"p{i}", "capture", i, "09:00:00") for i in range(50)), (None, "capture", 1, "09:00:00")))
+    bank = rollups.settlement_by_payment(settlement(*((f"U{i}", f"p{i}", i, "2025-09-15", None) for i in range(20, 70))))
+    stored = [bucketed.store_buckets(df, f"{tmp_path}/{i}", "payment_id", 4) for i, df in enumerate((ours, bank))]
+    again = [bucketed.open_buckets(spark, f"{tmp_path}/{i}", df.schema, "payment_id", 4) for i, df in enumerate((ours, bank))]
+    expected = sorted(map(tuple, match_payments(ours, bank).collect()), key=repr)
+    for sides in (stored, again):
+        matched = match_payments(*sides)
+        assert "Exchange" not in plan(matched)
+        assert sorted(map(tuple, matched.collect()), key=repr) == expected
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
