@@ -405,7 +405,7 @@ def _chain_days(spark, sf, folder):
 
 
 @query
-def open_items_replayed(spark, sf):
+def carry_replayed(spark, sf):
     """Five days, of which the second one is delivered in part first and then rerun: later days follow."""
     folder = scratch_folder(spark, "chain")
     days, number = _chain_days(spark, sf, folder)

@@ -18,7 +18,7 @@ from tallyline.sources.tables import orders_table
 SMALL = "/root/testdata/sf0.001"
 ACTING = set(
     """load_whole load_all_days load_day_append backfill_day export_csv check_all unmatched_sample product_pairs backfill_from_state
-    take_deliveries stream_orders open_items_replayed dim_sellers_history_late matched_stored""".split()
+    take_deliveries stream_orders carry_replayed dim_sellers_history_late matched_stored""".split()
 )
 
 
