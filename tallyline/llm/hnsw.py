@@ -14,6 +14,7 @@ LINKS, MOST_LINKS = 32, 64
 BUILD_BEAM = 48
 BATCH = 1024
 AT_ONCE, STEPS = 4, 16  # nodes of a beam expanded in one step: at least so many, and one in so many of its width
+GATHERED = 1 << 18  # numbers of vectors gathered at a time: they stay in the processor's cache
 
 
 class Layer:
@@ -26,7 +27,15 @@ class Layer:
         self.size = 0
 
     def scores(self, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-        return np.matmul(self.vectors[nodes], queries[:, :, None])[:, :, 0] - self.offsets[nodes]
+        columns, dim = nodes.shape[1], self.vectors.shape[1]
+        out = np.empty((len(nodes), columns, 1), np.float32)
+        rows = max(1, GATHERED // max(1, columns * dim))
+        room = np.empty((rows * columns, dim), np.float32)
+        for start in range(0, len(nodes), rows):
+            some = nodes[start : start + rows]
+            gathered = np.take(self.vectors, some.ravel(), axis=0, out=room[: some.size], mode="clip")
+            np.matmul(gathered.reshape(*some.shape, dim), queries[start : start + rows, :, None], out=out[start : start + rows])
+        return out[:, :, 0] - self.offsets[nodes]
 
     def beam(self, queries: np.ndarray, entries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The best nodes reached for each query, best first, and their scores."""
@@ -39,6 +48,7 @@ class Layer:
         seen = np.zeros((count, self.none + 1), bool)
         np.put_along_axis(seen, entries.astype(np.int64), True, axis=1)
         seen[:, self.none] = True
+        flat, starts = seen.ravel(), np.arange(count)[:, None] * (self.none + 1)
         active = np.arange(count)
         at_once = min(width, max(AT_ONCE, width // STEPS))
         while len(active):
@@ -51,11 +61,12 @@ class Layer:
                 break
             expanded = np.where(has, nodes[active[:, None], picks], self.none)
             todo[active[:, None], picks] = False
-            near = self.links[expanded].reshape(len(active), -1)
+            near = np.take(self.links, expanded, axis=0).reshape(len(active), -1)
             near.sort(axis=1)
             near[:, 1:][near[:, 1:] == near[:, :-1]] = self.none
-            near[seen[active[:, None], near]] = self.none
-            seen[active[:, None], near] = True
+            places = starts[active] + near
+            near[np.take(flat, places)] = self.none
+            flat[places] = True
             near.sort(axis=1)  # what has been seen is the last number, so that fewer columns are left to score
             near = near[:, : int((near != self.none).sum(axis=1).max())]
             all_nodes = np.concatenate([nodes[active], near], axis=1)
@@ -94,7 +105,7 @@ class Layer:
         kept_rows, kept_columns = np.nonzero(old != self.none)
         old_there = old[kept_rows, kept_columns]
         old_here = ends[kept_rows]
-        old_score = np.einsum("ij,ij->i", self.vectors[old_here], self.vectors[old_there]) - self.offsets[old_there]
+        old_score = self.scores(self.vectors[ends], old)[kept_rows, kept_columns]
         a = np.concatenate([here, there, old_here]).astype(np.int64)
         b = np.concatenate([there, here, old_there]).astype(np.int64)
         s = np.concatenate([score, back, old_score])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.llm import embedding_dups
 from tallyline.llm.embedding_dups import embedding_duplicates
-from tallyline.llm.hnsw import Graph
+from tallyline.llm.hnsw import Graph, Layer
 from tallyline.llm.posting_lists import nearest_neighbours
 
 
@@ -134,6 +136,22 @@ def test_graph_finds_near_vectors(euclidean):
     assert (np.diff(found, axis=1) <= 1e-6).all()
 
 
+def test_scores_gather_few_vectors_at_a_time():
+    """All vectors of this step at once would be 105 MB, beyond any processor's cache."""
+    random = np.random.default_rng(8)
+    rows, queries = random.standard_normal((5000, 64)), random.standard_normal((1024, 64)).astype(np.float32)
+    layer = Layer(rows, np.arange(5000) / 1000)
+    nodes = random.integers(0, 5001, (1024, 400)).astype(np.int32)  # 5000 is no node
+    tracemalloc.start()
+    found = layer.scores(queries, nodes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    expected = np.hstack([queries @ rows.T - np.arange(5000) / 1000, np.full((1024, 1), -np.inf)])
+    assert np.allclose(found, np.take_along_axis(expected, nodes.astype(np.int64), axis=1), atol=1e-4)
+    assert peak < 16e6
+    assert layer.scores(queries, nodes[:, :0]).shape == (1024, 0) and layer.scores(queries[:0], nodes[:0]).shape == (0, 400)
+
+
 def test_neighbours_recall_and_order(spark):
     rows = clustered(3, 3000, 16)
     ids = np.arange(len(rows)) * 5
